@@ -120,21 +120,22 @@ def with_instant(df: DataFrame, text: str, out: str, zone: Column) -> DataFrame:
         part("o") != "",
         sign * (F.substring(digits, 1, 2).cast("int") * 60 + F.coalesce(F.expr(f"try_cast(nullif(substring(regexp_replace(get(`{p}`, {_AT['o']}), '[+:-]', ''), 3, 2), '') as int)"), F.lit(0))),
     ).when(part("a") != "", F.try_element_at(table, F.upper(part("a"))))
-    c = f"__c_{out}"
-    df = df.withColumn(
-        c,
-        F.struct(
-            num("y").alias("y"), month.alias("m"), num("d").alias("d"), num("h").alias("h0"), half.alias("half"),
-            F.coalesce(num("i"), F.lit(0)).alias("i"), F.coalesce(num("s"), F.lit(0)).alias("s"),
-            F.rpad(F.substring(part("f"), 1, 3), 3, "0").cast("int").alias("ms"),
-            offset.alias("offset"), part("a").alias("abbr"), part("z").alias("z"),
-            F.coalesce(num("e") * 1000 + F.rpad(F.substring(part("f"), 1, 3), 3, "0").cast("int"), num("e3"), F.floor(num("e6") / F.lit(1000)), F.floor(num("e9") / F.lit(1000000))).alias("epoch"),
-        ),
-    )
-    g = lambda k: F.col(f"{c}.{k}")
+    # plain columns, not a struct: the optimizer then keeps each step in its own
+    # projection and nothing is evaluated twice
+    parts = {
+        "y": num("y"), "m": month, "d": num("d"), "h0": num("h"), "half": half,
+        "i": F.coalesce(num("i"), F.lit(0)), "s": F.coalesce(num("s"), F.lit(0)),
+        "ms": F.rpad(F.substring(part("f"), 1, 3), 3, "0").cast("int"),
+        "offset": offset, "abbr": part("a"), "z": part("z"),
+        "epoch": F.coalesce(num("e") * 1000 + F.rpad(F.substring(part("f"), 1, 3), 3, "0").cast("int"), num("e3"), F.floor(num("e6") / F.lit(1000)), F.floor(num("e9") / F.lit(1000000))),
+    }
+    df = df.select("*", *[v.alias(f"__{k}_{out}") for k, v in parts.items()])
+    g = lambda k: F.col(f"__{k}_{out}")
     pm, am = g("half").isin("오후", "pm"), g("half").isin("오전", "am")
     hour = F.when(pm | am, F.when(g("h0").between(1, 12), g("h0") % 12 + F.when(pm, 12).otherwise(0))).otherwise(F.coalesce(g("h0"), F.lit(0)))
-    local = f"__l_{out}"
+    hh, local = f"__h_{out}", f"__l_{out}"
+    df = df.withColumn(hh, hour)
+    hour = F.col(hh)
     valid = (
         g("y").between(1, 9999) & g("m").between(1, 12) & (g("d") >= 1) & (g("d") <= _month_days(g("y"), g("m")))
         & hour.between(0, 23) & g("i").between(0, 59) & g("s").between(0, 59)
@@ -153,7 +154,7 @@ def with_instant(df: DataFrame, text: str, out: str, zone: Column) -> DataFrame:
         .when(g("offset").isNotNull() | (g("abbr") != ""), F.lit(None).cast("bigint"))
         .otherwise(zoned)
     )
-    return df.withColumn(out, value.cast("bigint")).drop(rec, p, c, local)
+    return df.withColumn(out, value.cast("bigint")).drop(rec, p, hh, local, *[f"__{k}_{out}" for k in parts])
 
 
 SEOUL = "Asia/Seoul"
