@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gleaner.session import materialize
 
 #: A vertex whose cluster set has more rows is joined by broadcast, apart from the rest.
 HOT_ROWS = 50_000
+#: Up to so many rows in all, any one set fits a task and hot vertices aren't looked for.
+BIG_ROWS = 2_000_000
 
 
 def clean_id(c):
@@ -17,9 +19,11 @@ def clean_id(c):
     return F.when(F.length(bare) > 0, bare)
 
 
-def _fingerprint(df: DataFrame) -> tuple:
-    r = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("h")).first()
-    return r["n"], r["h"]
+def _settle(df: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written table of a round and its row count and hash, observed in the same job."""
+    seen = Observation()
+    table = materialize(df.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("h")), "sets")
+    return table, (seen.get["n"], seen.get["h"])
 
 
 def group_pairs(pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -40,20 +44,18 @@ def group_pairs(pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFra
     ends = ends.where("v is not null and u is not null and v <> u")
     ends = ends.select(F.greatest("v", "u").alias("v"), F.least("v", "u").alias("u")).distinct()
     arrows = F.array(F.struct("v", "u"), F.struct(F.col("u").alias("v"), F.col("v").alias("u")), F.struct("v", F.col("v").alias("u")), F.struct(F.col("u").alias("v"), "u"))
-    sets = materialize(ends.select(F.explode(arrows).alias("x")).select("x.v", "x.u").distinct(), "sets")
-    state = _fingerprint(sets)
+    sets, state = _settle(ends.select(F.explode(arrows).alias("x")).select("x.v", "x.u").distinct())
     while True:
-        minima = materialize(sets.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")), "minima")
-        hot = minima.where(F.col("n") > HOT_ROWS).select("v", "m")
-        if hot.limit(1).count():
-            rest = minima.where(F.col("n") <= HOT_ROWS).select("v", "m")
-            hot_v = F.broadcast(hot)
-            joined = sets.join(hot_v, "v").unionByName(sets.join(F.broadcast(hot.select("v")), "v", "left_anti").join(rest, "v"))
+        minima = sets.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n"))
+        if state[0] > BIG_ROWS:
+            minima = materialize(minima, "minima")
+            hot = F.broadcast(minima.where(F.col("n") > HOT_ROWS).select("v", "m"))
+            cold = sets.join(hot.select("v"), "v", "left_anti")
+            joined = sets.join(hot, "v").unionByName(cold.join(minima.select("v", "m"), "v"))
         else:
             joined = sets.join(minima.select("v", "m"), "v")
         sent = F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))
-        sets = materialize(joined.select(F.explode(sent).alias("x")).select("x.v", "x.u").distinct(), "sets")
-        now = _fingerprint(sets)
+        sets, now = _settle(joined.select(F.explode(sent).alias("x")).select("x.v", "x.u").distinct())
         if now == state:
             break
         state = now

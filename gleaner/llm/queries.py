@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, components, site_lines
+from gleaner.llm import bpe, components, residue, site_lines, survivors
 from gleaner.session import table
 
 QUERIES: dict = {}
@@ -52,3 +52,19 @@ def p6_found(spark, d):
 @query("p8_ids")
 def p8_ids(spark, d):
     return bpe.encode(table(spark, d, "documents"))
+
+
+@query("p4_found")
+def p4_found(spark, d):
+    return residue.found_residue(table(spark, d, "raw_articles"))
+
+
+@query("p4_kept")
+def p4_kept(spark, d):
+    marked = residue.with_residue(table(spark, d, "raw_articles").select("row_id", "news_id", "title", "content"))
+    return marked.where("not (residue.title or residue.content)").select("row_id", "news_id")
+
+
+@query("p5_found")
+def p5_found(spark, d):
+    return survivors.found_sources(table(spark, d, "raw_articles"), table(spark, d, "press_sites"))

@@ -1,0 +1,265 @@
+"""Template residue, filler, error pages and script notices in place of text.
+
+Two character n-gram models are compared: one of residue, trained on the seed
+phrases below, and one of natural prose, counted over all texts at hand. Their
+log-likelihood ratio, averaged over short windows, localises residue; a unit (a line or
+sentence) is residue if such windows cover most of it, so that prose
+which quotes an error message is not. Placeholders that were never filled in are
+residue wherever they stand outside quotes.
+"""
+
+import re
+import unicodedata
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BITS = 18
+#: Characters in a window; mean log ratio from which it is residue; covered share from which a unit is.
+WINDOW, RATIO, COVERAGE = 12, 0.4, 0.6
+#: Score of an n-gram that the residue model doesn't know, and bounds of all others.
+UNKNOWN, LOW, HIGH = -1.5, -3.0, 3.0
+
+# Training phrases of the residue model, by kind.
+SEEDS = {
+    "filler": [
+        "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.",
+        "Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat.",
+        "Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.",
+        "Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum.",
+        "Lorem ipsum ipsan quor placet nuscal vestim sitam veret mordi aren dolmi fusca tellum urna lorem sitam ipsan vestim placet dolmi mordi",
+        "lorem vestim aren veret tellum quor urna mordi fusca ipsan dolmi nuscal placet sitam urna aren tellum quor veret vestim lorem mordi nuscal",
+        "Insert article text here. Insert text here. Insert title here. Your text goes here. Type your text here. Sample text. Placeholder text. Dummy text.",
+        "This is a test. test test test test. asdf asdf asdf qwer qwer qwerty foo bar baz foo bar. TODO TBD to be written xxx xxx xxx",
+        "Untitled Untitled-1 Untitled document. No title. No content. Content goes here. Title goes here. Headline here. Article body here",
+        "여기에 본문을 입력하세요. 여기에 내용을 입력하세요. 제목을 입력하세요. [제목을 입력하세요] [본문을 입력하세요] 내용을 입력해 주세요. 기사 내용을 입력하십시오.",
+        "본문 내용이 들어갈 자리입니다. 글자 수 맞추기용 문장 여기에 글이 들어갑니다. 기사 본문이 들어갈 자리 제목이 들어갈 자리입니다.",
+        "임시 원고 임시 원고 - 송고 전 교체 바람. 임시 제목 임시 본문 교체 예정 추후 작성 예정 작성 중 작성중입니다",
+        "[본문] ○○○가 △△△에서 □□□를 밝혔다 (자리 표시) [제목] [작성자] [본문] ○○○ △△△ □□□ (자리 표시) ●●● ◇◇◇ ×××",
+        "내용 없음 내용 없음 내용 없음 제목 없음 제목 없음_ 본문 없음 본문 없음 기사 제목 기사 제목 기사 제목 기사 본문 기사 본문 기사 내용 기사 내용",
+        "테스트 테스트 테스트 테스트 테스트입니다 테스트 기사 샘플 문장 샘플 문장 샘플 문장 샘플 텍스트 샘플 기사 예시 문장 예시 문장 더미 텍스트 더미 문장",
+        "가나다라 가나다라 가나다라 가나다라마바사 아자차카타파하 ㅁㄴㅇㄹ ㅁㄴㅇㄹ ㅁㄴㅇㄹ ㅂㅈㄷㄱ ㅋㅌㅊㅍ ㅁㄴㅇ ㅁㄴㅇ 아무말 아무말 아무말",
+    ],
+    "value": [
+        "글 undefined 기자 | 승인 NaN-NaN-NaN | 조회", "undefined", "null", "NaN", "[object Object]", "undefined undefined undefined",
+        "null null null null", "입력 NaN-NaN-NaN | 수정 NaN-NaN-NaN", "By undefined | Invalid Date", "undefined | null | NaN", "None None None",
+        "기자명 undefined 작성일 undefined", "Invalid Date", "#N/A", "조회 NaN",
+    ],
+    "error": [
+        "404 Not Found. 404 - 페이지를 찾을 수 없음. 404 Page not found. Error 404: Not Found. 페이지를 찾을 수 없습니다. 요청하신 페이지를 찾을 수 없습니다.",
+        "The page you requested could not be found. The requested URL was not found on this server. The page /read/ you requested could not be found. Sorry, the page you are looking for does not exist. Oops! Something went wrong.",
+        "500 Internal Server Error. Internal Server Error. Incident. 502 Bad Gateway — upstream did not answer in time. Bad Gateway nginx",
+        "503 Service Temporarily Unavailable, node- Error 503: Service Unavailable. 504 Gateway Time-out. Gateway time-out ( ms). HTTP 410 Gone · HTTP Error 403 Forbidden. HTTP 400 Bad Request · HTTP 401 Unauthorized · HTTP 500",
+        "Access Denied. You don't have permission to view /read/ on this server. Reference. Access to this page has been denied. You don't have permission to access this resource. Forbidden",
+        "Error establishing a database connection. Database connection failed. Could not connect to the database. Connection refused. Connection timed out.",
+        "Warning: include(/srv/tpl/.inc) failed to open stream on line. Fatal error near view_ Notice: Undefined variable on line. Fatal error: Uncaught Exception in /var/www/html/index.php on line. Parse error: syntax error, unexpected",
+        "java.lang.NullPointerException at view.Article.render(Article.java:) Exception in thread main java.lang.IllegalStateException at com.example.Main.main(Main.java:) Caused by:",
+        "Traceback (most recent call last): File line in module KeyError: ValueError: TypeError: Cannot read properties of undefined (reading) ReferenceError: is not defined",
+        "서버가 응답하지 않습니다. 서버 오류가 발생했습니다. 내부 서버 오류. 데이터베이스 연결에 실패했습니다 #. 연결이 거부되었습니다. 응답 시간이 초과되었습니다.",
+        "일시적인 오류로 본문을 불러오지 못했습니다. 코드. 일시적인 오류가 발생했습니다. 잠시 후 다시 시도해 주세요. 기사를 불러올 수 없습니다. 오류 코드. 기사를 불러오는 중 오류가 발생했습니다.",
+        "죄송합니다. 존재하지 않는 기사 번호()입니다. 존재하지 않는 페이지입니다. 없는 기사이거나 삭제된 기사입니다. 삭제되었거나 존재하지 않는 기사입니다.",
+        "원하시는 화면 번이 없거나 주소가 바뀌었습니다. 요청하신 주소가 잘못되었거나 변경되었습니다. 잘못된 접근입니다. 잘못된 요청입니다.",
+        "세션이 만료되었거나 삭제된 기사입니다 (). 첫 화면으로 돌아가 주십시오. 세션이 만료되었습니다. 다시 로그인해 주십시오. 이전 화면으로 돌아가 주십시오.",
+        "서비스 점검 중입니다. 점검 시간 ~ 코드. 시스템 점검 중입니다. 서비스 점검 안내. 더 나은 서비스를 위해 점검 중입니다. 이용에 불편을 드려 죄송합니다.",
+        "비정상적인 접근이 감지되어 화면을 표시할 수 없습니다.(문의 ) 비정상적인 접근이 감지되었습니다. 접근이 차단되었습니다. 접근 권한이 없습니다. 권한이 없어 화면을 볼 수 없습니다. 로그인이 필요한 서비스입니다.",
+    ],
+    "notice": [
+        "Please enable JavaScript and cookies to continue. Ray. Please enable JavaScript to view this page. You need to enable JavaScript to run this app. JavaScript is disabled in your browser. Please turn on JavaScript.",
+        "Your browser does not run scripts. Turn scripting on to read article. Your browser is not supported. Please update your browser. Please enable cookies. This site requires cookies.",
+        "noscript: JavaScript required. JavaScript required. Scripts required. Enable scripts to continue. Scripting is turned off.",
+        "Just a moment... Checking your browser before accessing. Verifying you are human. This may take a few seconds. Attention Required! Please verify you are a human. DDoS protection by. Please wait... Loading... Redirecting...",
+        "이 페이지를 보려면 자바스크립트를 켜 주십시오. 안내 번호. 자바스크립트를 사용할 수 있도록 설정해 주세요. 자바스크립트가 꺼져 있습니다. 자바스크립트를 활성화해 주세요.",
+        "스크립트를 지원하지 않는 브라우저입니다(). 다른 브라우저를 이용하세요. 지원하지 않는 브라우저입니다. 최신 브라우저를 이용해 주세요. 브라우저를 업데이트해 주세요.",
+        "브라우저의 스크립트 기능이 꺼져 있어 기사 을 표시하지 못합니다. 브라우저의 스크립트 기능을 켜 주세요. 쿠키를 허용해 주세요. 쿠키 사용을 허용해야 볼 수 있습니다.",
+        "본문 로딩 중... 로딩 중입니다. 불러오는 중... 기사를 불러오는 중입니다. 잠시만 기다려 주세요. 사람인지 확인하고 있습니다. 로봇이 아닙니다. 본문을 불러오는 중...",
+    ],
+}
+# Words of filler text, of which every pair is a training phrase.
+LOREM = (
+    "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua "
+    "ipsan quor placet nuscal vestim sitam veret mordi aren dolmi fusca tellum urna"
+).split()
+# Plain prose that the prose model always holds, whatever the texts.
+PROSE = [
+    "The committee voted to delay the motion after a long debate, and several members asked for more time to read the report.",
+    "Residents near the harbor signed a petition against the new bus route, while shop owners said that the plan would help them.",
+    "She told reporters that the budget would not change this year, because the figures were incomplete and the talks had stalled.",
+    "According to the survey, about half of those asked support the bill; the minister answered that the government would review it.",
+    "He paused, then the council chose to reject the draft. We must choose by May, said the chair of the panel. Can they really do it?",
+    "Under the law the board may withdraw any permit within thirty days at the request of residents or without a formal vote.",
+    "위원회는 오랜 논의 끝에 표결을 미루기로 했고 의원들은 자료를 더 살펴볼 시간을 달라고 요구했다.",
+    "주민들은 새 노선에 반대하는 서명을 냈으며 상인들은 계획이 도움이 될 것이라고 말했다.",
+]
+# The ways in which template engines mark a slot.
+SLOT = re.compile(
+    r"\{\{\s*[^{}\n]{1,80}\}\}|\{%-?\s*[^{}\n]{1,80}%\}|<%[=-]?\s*[^<>\n]{1,80}%>|\$\{[^{}\n]{1,80}\}|#\{[^{}\n]{1,80}\}|\{\$[^{}\n]{1,80}\}"
+    r"|@@[\w.-]{1,60}@@|(?<!\w)__[^\W_][\w.]{0,58}__(?!\w)|\[\[[^\[\]\n]{1,80}\]\]|(?<![\d%\w])%[^\W\d][\w.]{0,58}%(?!\w)"
+)
+_SLOT_MARKS = ("{{", "{%", "<%", "${", "#{", "{$", "@@", "__", "[[", "%")
+_QUOTES = {"'": "'", '"': '"', "‘": "’", "“": "”", "「": "」", "『": "』", "《": "》", "`": "`"}
+_UNITS = re.compile(r"[\r\n\x0b\x0c\x85\u2028\u2029]+|(?<=[.?!。])\s+")
+
+
+def open_slot(text: str) -> bool:
+    """Whether a slot that was never filled in stands in the text, outside quotes."""
+    if not any(m in text for m in _SLOT_MARKS):
+        return False
+    for m in SLOT.finditer(text):
+        a, b = text[: m.start()].rstrip(), text[m.end() :].lstrip()
+        if not (a and b and _QUOTES.get(a[-1]) == b[0]):
+            return True
+    return False
+
+
+def _normal(text: str) -> str:
+    return (text if text.isascii() else unicodedata.normalize("NFKC", text)).lower()
+
+
+class _Grams:
+    """n-grams of many texts at once: hashes, script and the unit each belongs to.
+
+    Five characters of plain Latin text, three of any other.
+    """
+
+    def __init__(self, units: list[str]):
+        joined = "\n".join(units) + "\n" * 5
+        c = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        digit, end, wide = (c >= 48) & (c <= 57), c == 10, c >= 128
+        n = len(c) - 4
+        view = lambda x, k: x[k : k + n]
+        any_of = lambda x, m: np.logical_or.reduce([view(x, k) for k in range(m)])
+        mix = view(c, 0) * np.uint32(2654435761) ^ (view(c, 1) * np.uint32(2246822519) << np.uint32(1)) ^ (view(c, 2) * np.uint32(3266489917) << np.uint32(2))
+        more = mix ^ (view(c, 3) * np.uint32(668265263) << np.uint32(3)) ^ (view(c, 4) * np.uint32(374761393) << np.uint32(4)) ^ np.uint32(2166136261)
+        self.latin = ~any_of(wide, 3)
+        long = self.latin & ~any_of(end, 5) & ~any_of(digit, 5) & ~any_of(wide, 5)
+        h = np.where(long, more, mix)
+        self.hash = (h ^ (h >> np.uint32(15))) & np.uint32((1 << BITS) - 1)
+        #: Grams over the end of a unit or with a digit say nothing.
+        self.void = any_of(end, 3) | any_of(digit, 3)
+        self.ends = np.flatnonzero(view(end, 0))[: len(units)]
+
+
+def gram_counts(units: list[str]) -> np.ndarray:
+    """Counts by script: row 0 plain Latin, row 1 any other."""
+    if not units:
+        return np.zeros((2, 1 << BITS), np.int64)
+    t = _Grams(units)
+    return np.stack([np.bincount(t.hash[~t.void & (t.latin == k)], minlength=1 << BITS) for k in (True, False)])
+
+
+def _phrases() -> list[str]:
+    pairs = [f"{a} {b}" for a in LOREM for b in LOREM]
+    return [_normal(x) for kind in SEEDS.values() for x in kind] + pairs
+
+
+def ratio_table(prose: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of every n-gram, residue over prose, each within its script."""
+    seeds, prose = np.minimum(gram_counts(_phrases()), 4), prose + gram_counts([_normal(x) for x in PROSE])
+    out = np.full(1 << BITS, UNKNOWN)
+    for seed, count in zip(seeds, prose, strict=True):
+        p = (seed + 0.05) / (seed.sum() + 0.05 * max(1, np.count_nonzero(seed)))
+        q = (count + 0.5) / (count.sum() + 0.5 * max(1, np.count_nonzero(count)))
+        out = np.where(seed > 0, np.clip(np.log(p / q), LOW, HIGH), out)
+    return out.astype(np.float32)
+
+
+def unit_coverage(units: list[str], table: np.ndarray) -> np.ndarray:
+    """Share of each unit that windows of residue cover."""
+    t = _Grams(units)
+    s = np.where(t.void, 0, table[t.hash]).astype(np.float64)
+    use = ~t.void
+    cs, cu = np.concatenate([[0], np.cumsum(s)]), np.concatenate([[0], np.cumsum(use)])
+    n = len(s)
+    starts = np.concatenate([[0], t.ends[:-1] + 1])
+    unit_end = np.repeat(t.ends, t.ends - starts + 1)  # end of the unit of each position
+    unit_end = np.concatenate([unit_end, np.full(n - len(unit_end), n)])
+    at = np.arange(n)
+    unit_start = np.concatenate([np.repeat(starts, t.ends - starts + 1), np.full(n - len(np.repeat(starts, t.ends - starts + 1)), n)])
+    stop = np.minimum(at + WINDOW, unit_end)
+    begin = np.maximum(np.minimum(at, stop - WINDOW), unit_start)
+    weight = np.maximum(cu[stop] - cu[begin], 1)
+    hot = (cs[stop] - cs[begin] > RATIO * weight) & (cu[stop] > cu[begin])
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, begin[hot], 1)
+    np.add.at(edge, stop[hot], -1)
+    covered = (np.cumsum(edge[:-1]) > 0) & use
+    cc = np.concatenate([[0], np.cumsum(covered)])
+    total = cu[t.ends] - cu[starts]
+    return np.where(total > 0, (cc[t.ends] - cc[starts]) / np.maximum(total, 1), 0.0)
+
+
+def flags(texts: list[str | None], table: np.ndarray) -> np.ndarray:
+    """Whether each text holds residue; NULL, empty and blank texts do not."""
+    out = np.zeros(len(texts), bool)
+    units, owner = [], []
+    for i, raw in enumerate(texts):
+        if not raw or raw.isspace():
+            continue
+        text = _normal(raw)
+        if open_slot(text):
+            out[i] = True
+            continue
+        for u in _UNITS.split(text):
+            u = u.strip()
+            if u:
+                units.append(u)
+                owner.append(i)
+    if units:
+        out[np.array(owner)[unit_coverage(units, table) >= COVERAGE]] = True
+    return out
+
+
+def fit_prose(articles: DataFrame, columns: tuple[str, ...] = ("title", "content")) -> np.ndarray:
+    """n-gram counts over all texts: one fixed-size table per partition, added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, 1 << BITS), np.int64)
+        for batch in batches:
+            for c in batch.columns:
+                total += gram_counts([_normal(x) for x in c.to_pylist() if x])
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["t"])
+
+    size = 1 << BITS
+    tables = articles.select(*columns).mapInArrow(run, "t binary")
+    parts = max(1, tables.rdd.getNumPartitions() // 16)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, size), np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                total += np.frombuffer(x.as_py(), "<i8").reshape(2, -1)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["t"])
+
+    got = tables.coalesce(parts).mapInArrow(add, "t binary").toLocalIterator()
+    total = np.zeros((2, size), np.int64)
+    for r in got:
+        total += np.frombuffer(r["t"], "<i8").reshape(2, -1)
+    return total
+
+
+def with_residue(articles: DataFrame, columns: tuple[str, ...] = ("title", "content"), table: np.ndarray | None = None) -> DataFrame:
+    """Add ``residue``: a struct with one flag per text column.
+
+    The flag is true if the field holds an open slot or value, filler, an error
+    message or a notice that scripts or access are needed. NULL, empty and blank
+    fields give false; prose that quotes such messages gives false. Rows come out
+    as they came in, copies and NULL rows included; an empty table stays empty.
+    """
+    table = ratio_table(fit_prose(articles, columns)) if table is None else table
+    shared = articles.sparkSession.sparkContext.broadcast(table)
+    kind = T.StructType([T.StructField(c, T.BooleanType(), False) for c in columns])
+
+    def run(*series: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({c: flags([x if isinstance(x, str) else None for x in s], shared.value) for c, s in zip(columns, series, strict=True)})
+
+    return articles.withColumn("residue", F.pandas_udf(run, kind)(*map(F.col, columns)))
+
+
+def found_residue(articles: DataFrame) -> DataFrame:
+    """``row_id`` of every row whose title or content is residue."""
+    return with_residue(articles).where("residue.title or residue.content").select("row_id")
