@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, components, residue, site_lines, survivors
+from gleaner.llm import bpe, clusters, components, leakage, residue, site_lines, survivors
 from gleaner.session import table
 
 QUERIES: dict = {}
@@ -68,3 +68,31 @@ def p4_kept(spark, d):
 @query("p5_found")
 def p5_found(spark, d):
     return survivors.found_sources(table(spark, d, "raw_articles"), table(spark, d, "press_sites"))
+
+
+_P2 = """
+WITH v AS (SELECT item_id, embedding::DOUBLE[] AS e FROM issue_items WHERE len(embedding) = 64
+  AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_sum(list_transform(embedding, x -> abs(x))) > 0),
+p AS (SELECT a.item_id AS i, b.item_id AS j FROM v a JOIN v b ON list_cosine_similarity(a.e, b.e) >= 0.88)
+SELECT i AS item_id, min(j) AS issue_cluster_id FROM p GROUP BY i HAVING count(*) > 1
+"""
+
+
+@query("p2_found", _P2)
+def p2_found(spark, d):
+    return clusters.found_clusters(table(spark, d, "issue_items"))
+
+
+@query("p2_issues")
+def p2_issues(spark, d):
+    return clusters.issue_rows(table(spark, d, "issue_items"))
+
+
+@query("p9_found")
+def p9_found(spark, d):
+    return leakage.found_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+@query("p9_items")
+def p9_items(spark, d):
+    return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
