@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, clusters, components, leakage, residue, site_lines, survivors
+from gleaner.llm import bpe, clusters, components, leakage, residue, sentences, site_lines, survivors
 from gleaner.session import table
 
 QUERIES: dict = {}
@@ -96,3 +96,8 @@ def p9_found(spark, d):
 @query("p9_items")
 def p9_items(spark, d):
     return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+@query("p10_found")
+def p10_found(spark, d):
+    return sentences.boundaries(table(spark, d, "documents"))
