@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, clusters, components, leakage, residue, sentences, site_lines, survivors
+from gleaner.llm import bpe, clusters, components, history, leakage, residue, sentences, site_lines, survivors
 from gleaner.session import table
 
 QUERIES: dict = {}
@@ -101,3 +101,8 @@ def p9_items(spark, d):
 @query("p10_found")
 def p10_found(spark, d):
     return sentences.boundaries(table(spark, d, "documents"))
+
+
+@query("p7_found")
+def p7_found(spark, d):
+    return history.found_repeats(table(spark, d, "raw_articles"), table(spark, d, "incoming_articles"))
