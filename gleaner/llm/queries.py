@@ -72,7 +72,7 @@ def p5_found(spark, d):
 
 _P2 = """
 WITH v AS (SELECT item_id, embedding::DOUBLE[] AS e FROM issue_items WHERE len(embedding) = 64
-  AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_sum(list_transform(embedding, x -> abs(x))) > 0),
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
 p AS (SELECT a.item_id AS i, b.item_id AS j FROM v a JOIN v b ON list_cosine_similarity(a.e, b.e) >= 0.88)
 SELECT i AS item_id, min(j) AS issue_cluster_id FROM p GROUP BY i HAVING count(*) > 1
 """
