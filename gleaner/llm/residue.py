@@ -22,7 +22,9 @@ from pyspark.sql import types as T
 BITS = 18
 #: Characters in a window; mean log ratio from which it is residue; covered share from which a unit is.
 WINDOW, RATIO, COVERAGE = 12, 0.4, 0.6
+#: Share of grams known to the residue model from which a unit is no prose to learn from.
 #: Score of an n-gram that the residue model doesn't know, and bounds of all others.
+FOREIGN, FLOOR = 0.75, 1_000_000
 UNKNOWN, LOW, HIGH = -1.5, -3.0, 3.0
 
 # Training phrases of the residue model, by kind.
@@ -144,12 +146,27 @@ class _Grams:
         self.ends = np.flatnonzero(view(end, 0))[: len(units)]
 
 
-def gram_counts(units: list[str]) -> np.ndarray:
-    """Counts by script: row 0 plain Latin, row 1 any other."""
+def gram_counts(units: list[str], known: np.ndarray | None = None) -> np.ndarray:
+    """Counts by script: row 0 plain Latin, row 1 any other.
+
+    Units of which ``FOREIGN`` or more of the grams are ``known`` to the residue
+    model don't count, so that an error page that makes up a large part of the
+    texts doesn't come to be prose.
+    """
     if not units:
         return np.zeros((2, 1 << BITS), np.int64)
     t = _Grams(units)
-    return np.stack([np.bincount(t.hash[~t.void & (t.latin == k)], minlength=1 << BITS) for k in (True, False)])
+    use = ~t.void
+    if known is not None:
+        starts = np.concatenate([[0], t.ends[:-1] + 1])
+        size = np.concatenate([[0], np.cumsum(use)])
+        hits = np.concatenate([[0], np.cumsum(use & known[t.hash])])
+        bad = hits[t.ends] - hits[starts] >= FOREIGN * np.maximum(size[t.ends] - size[starts], 1)
+        drop = np.zeros(len(use), bool)
+        span = t.ends - starts + 1
+        drop[: span.sum()] = np.repeat(bad, span)
+        use &= ~drop
+    return np.stack([np.bincount(t.hash[use & (t.latin == k)], minlength=1 << BITS) for k in (True, False)])
 
 
 def _phrases() -> list[str]:
@@ -159,11 +176,12 @@ def _phrases() -> list[str]:
 
 def ratio_table(prose: np.ndarray) -> np.ndarray:
     """Log-likelihood ratio of every n-gram, residue over prose, each within its script."""
-    seeds, prose = np.minimum(gram_counts(_phrases()), 4), prose + gram_counts([_normal(x) for x in PROSE])
+    seeds, prose = np.minimum(gram_counts(_phrases()), 4), prose + 20 * gram_counts([_normal(x) for x in PROSE])
     out = np.full(1 << BITS, UNKNOWN)
     for seed, count in zip(seeds, prose, strict=True):
         p = (seed + 0.05) / (seed.sum() + 0.05 * max(1, np.count_nonzero(seed)))
-        q = (count + 0.5) / (count.sum() + 0.5 * max(1, np.count_nonzero(count)))
+        # few texts leave most of prose unseen: they count as part of FLOOR grams
+        q = (count + 0.5) / (max(count.sum(), FLOOR) + 0.5 * max(1, np.count_nonzero(count)))
         out = np.where(seed > 0, np.clip(np.log(p / q), LOW, HIGH), out)
     return out.astype(np.float32)
 
@@ -217,11 +235,14 @@ def flags(texts: list[str | None], table: np.ndarray) -> np.ndarray:
 def fit_prose(articles: DataFrame, columns: tuple[str, ...] = ("title", "content")) -> np.ndarray:
     """n-gram counts over all texts: one fixed-size table per partition, added up."""
 
+    known = gram_counts(_phrases()).sum(0) > 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 << BITS), np.int64)
         for batch in batches:
             for c in batch.columns:
-                total += gram_counts([_normal(x) for x in c.to_pylist() if x])
+                units = [u for x in c.to_pylist() if x for u in _UNITS.split(_normal(x)) if u]
+                total += gram_counts(units, known)
         yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["t"])
 
     size = 1 << BITS
