@@ -197,7 +197,7 @@ def density_clusters(df: DataFrame, min_size: int = 3, min_samples: int = 4) ->
 
 def issue_board(items: DataFrame, labels: DataFrame, k: int = 5) -> DataFrame:
     """``issue_cluster_id, issue_label, cluster_size, representative_titles`` of labelled items, noise left out."""
-    rows = items.join(labels, "vec_id").where("cluster_id <> -1").withColumnRenamed("cluster_id", "label")
+    rows = items.select("vec_id", "embedding").join(labels, "vec_id").where("cluster_id <> -1").withColumnRenamed("cluster_id", "label")
     top = representatives(rows.select("label", "vec_id", "embedding"), "label", k).join(items.select("vec_id", "title"), "vec_id")
     titles = top.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "title"))), lambda x: x["title"]).alias("representative_titles"))
     sizes = rows.groupBy("label").agg(F.count("*").cast("int").alias("cluster_size"))

@@ -309,17 +309,32 @@ def _doc_articles(spark, d) -> DataFrame:
     return ids.join(sites, "source", "left")
 
 
-@query("keyword_cluster")
+def _cluster_sql(title: float, body: float) -> str:
+    return f"""WITH RECURSIVE t AS ({_leader_sql("title", title)}), b AS ({_leader_sql("text", body)}),
+ g AS (SELECT pos, t.leader AS title_id, b.leader AS body_id FROM t JOIN b USING (pos)),
+ e AS (SELECT pos AS a, title_id AS b FROM g UNION SELECT title_id, pos FROM g UNION SELECT pos, body_id FROM g UNION SELECT body_id, pos FROM g),
+ c(v, low) USING KEY (v) AS (SELECT pos, pos FROM g UNION SELECT e.b, min(c.low) FROM c JOIN e ON e.a = c.v JOIN recurring.c AS o ON o.v = e.b WHERE c.low < o.low GROUP BY e.b),
+ s AS (SELECT g.*, low AS cluster_id, substr(md5(pos::VARCHAR), 1, 12) AS news_id, coalesce(is_agency, false) AS ag FROM g JOIN c ON v = pos JOIN documents ON doc_id = pos LEFT JOIN press_sites p ON p.site = source),
+ won AS (SELECT cluster_id, news_id AS replaced_by FROM s QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY ag DESC, CASE WHEN ag THEN -pos ELSE pos END, pos) = 1),
+ m AS (SELECT s.*, replaced_by, news_id = replaced_by AS is_canon FROM s JOIN won USING (cluster_id))
+ """
+
+
+@query("keyword_cluster", _cluster_sql(0.18, 0.17) + "SELECT pos, title_id, body_id, cluster_id, is_canon, replaced_by FROM m")
 def keyword_cluster(spark, d):
     return similarity.elect(_doc_articles(spark, d).join(similarity.cluster_rows(_doc_articles(spark, d), 0.18, 0.17), "pos")).select("pos", "title_id", "body_id", "cluster_id", "is_canon", "replaced_by")
 
 
-@query("global_dedup")
+@query("global_dedup", _cluster_sql(0.20, 0.19) + "SELECT pos, cluster_id, is_canon, CASE WHEN NOT is_canon THEN 'global_similarity' END AS removed_by FROM m")
 def global_dedup(spark, d):
     return similarity.global_dedup(_doc_articles(spark, d)).select("pos", "cluster_id", "is_canon", "removed_by")
 
 
-@query("probe_candidates")
+@query(
+    "probe_candidates",
+    _cluster_sql(0.20, 0.20) + "SELECT * FROM (SELECT pos, min(pos) OVER (PARTITION BY title_id, body_id) AS cluster_id, count(*) OVER (PARTITION BY title_id, body_id) AS n, "
+    "CASE WHEN title_id <> pos AND body_id <> pos THEN 'title+body' WHEN title_id <> pos THEN 'title' WHEN body_id <> pos THEN 'body' END AS via FROM g) WHERE n > 1",
+)
 def probe_candidates(spark, d):
     merged = similarity.cluster_rows(_doc_articles(spark, d), 0.20, 0.20, "and")
     big = merged.groupBy("cluster_id").agg(F.count("*").alias("n")).where("n > 1")
