@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from gleaner.llm import bpe, clusters, components, history, leakage, residue, sentences, site_lines, survivors
 from gleaner.session import table
 
@@ -106,3 +108,19 @@ def p10_found(spark, d):
 @query("p7_found")
 def p7_found(spark, d):
     return history.found_repeats(table(spark, d, "raw_articles"), table(spark, d, "incoming_articles"))
+
+
+@query("p5_survivors")
+def p5_survivors(spark, d):
+    return survivors.survivors(table(spark, d, "raw_articles"), table(spark, d, "press_sites"))
+
+
+@query("p5_values")
+def p5_values(spark, d):
+    judged, _ = survivors.judged_values(table(spark, d, "raw_articles"), "title")
+    return judged.select("news_id", "value", "n_claims", F.round("p_true", 4).alias("p_true"))
+
+
+@query("p10_sentences")
+def p10_sentences(spark, d):
+    return sentences.sentences(table(spark, d, "documents"))
