@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,17 +31,34 @@ def topk(corpus: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, sim``: the ``k`` corpus vectors closest to each query.
 
     The queries are a stated, small set (checked: at most 10,000) that is held
-    against all rows in one pass; each partition keeps its best ``k`` per query
-    before the shuffle.
+    against all rows in one pass; each batch keeps its best ``k`` per query before the
+    shuffle. Vectors that are NULL or of another length have no rank.
     """
     if queries.limit(10_001).count() > 10_000:
         raise ValueError("split the query set into blocks of at most 10,000")
-    q = F.broadcast(queries.select("query_id", F.col("embedding").alias("q")))
-    sims = corpus.join(q).select("query_id", "vec_id", F.round(cosine(F.col("embedding"), F.col("q")), 9).alias("sim")).where("sim is not null")
+    held = queries.where("embedding is not null").select("query_id", "embedding").toPandas()
+    ids = held["query_id"].to_numpy(np.int64)
+    q = np.stack(held["embedding"]).astype(np.float64) if len(ids) else np.empty((0, 0))
+    q /= np.where((n := np.linalg.norm(q, axis=1, keepdims=True)) > 0, n, 1) if len(ids) else 1
+    dim = q.shape[1]
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(ids) or not batch.num_rows:
+                continue
+            vec = np.asarray(batch.column(0), np.int64)
+            x = np.asarray(batch.column(1).flatten(), np.float64).reshape(-1, dim)
+            sims = np.round(x @ q.T / np.where((m := np.linalg.norm(x, axis=1, keepdims=True)) > 0, m, 1), 9)
+            top = np.stack([np.lexsort((vec, -sims[:, j]))[:k] for j in range(len(ids))])
+            at = np.arange(len(ids))[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, top.shape[1])), pa.array(vec[top].ravel()), pa.array(sims[top, at].ravel())], names=["query_id", "vec_id", "sim"])
+
+    whole = F.col("embedding").isNotNull() & (F.size("embedding") == dim)
+    found = corpus.where(whole).select("vec_id", "embedding").mapInArrow(best, "query_id bigint, vec_id bigint, sim double")
     order = [F.col("sim").desc(), F.col("vec_id")]
     part = W.partitionBy("query_id", F.pmod("vec_id", F.lit(64))).orderBy(*order)
-    best = sims.withColumn("r", F.row_number().over(part)).where(F.col("r") <= k)
-    ranked = best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k)
+    first = found.withColumn("r", F.row_number().over(part)).where(F.col("r") <= k)
+    ranked = first.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "sim")
 
 
