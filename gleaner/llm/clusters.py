@@ -23,15 +23,22 @@ from gleaner.session import materialize, sized_join
 
 SIMILAR = 0.88
 DIMENSIONS = 64
-#: Rounds, and signatures per round. At a cosine of 0.88 a pair meets in one of the
-#: 48 signatures of 10 bits with probability 0.9999, of 16 bits with 0.95; at 0.92,
-#: 0.999.
-ROUNDS, TABLES = 6, 8
+#: Signatures per round, and how often a pair at the least cosine must meet in some signature.
+TABLES, RECALL = 8, 0.999
+#: Vectors that chance brings into one bucket, about.
+BUCKET_MEAN = 64
 #: Rows of a bucket that one task takes; larger buckets are split by a hash of the id.
 BUCKET_ROWS = 20_000
 _STEP = 512
 
 
+def plan(n: int, least: float = SIMILAR) -> tuple[int, int]:
+    """Bits of a signature for ``n`` vectors, and the rounds that hold the recall at the least cosine."""
+    bits = min(24, max(4, math.ceil(math.log2(max(n, 2) / BUCKET_MEAN))))
+    meet = (1 - math.acos(least) / math.pi) ** bits
+    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - meet) / TABLES)
+
+
 def valid_vectors(items: DataFrame, dim: int = DIMENSIONS) -> DataFrame:
     """``item_id, pri, vec``: unit vectors of items whose vector is whole, finite and not zero."""
     v = F.transform("embedding", lambda x: x.cast("double"))
@@ -119,9 +126,9 @@ def pivot_clusters(items: DataFrame, least: float = SIMILAR, dim: int = DIMENSIO
     """
     vectors = materialize(valid_vectors(items, dim).dropDuplicates(["item_id"]), "vectors")
     n = vectors.count()
-    bits = min(24, max(4, math.ceil(math.log2(max(n, 2) / 16))))
+    bits, rounds = plan(n, least)
     active, edges = vectors, None
-    for rnd in range(ROUNDS):
+    for rnd in range(rounds):
         rows = _signatures(active, rnd, bits, dim)
         if n > BUCKET_ROWS:
             sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROWS)
