@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import char_shingles, uni_and_bigrams, word_tokens
+from gleaner.functions.text import uni_and_bigrams, word_tokens
 from gleaner.session import materialize, sized_join
 
 
@@ -176,20 +177,29 @@ def elect(df: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     return out.withColumn("is_canon", F.coalesce("__c", F.lit(False))).drop("__c")
 
 
+def _fingerprint(kept: str, size: int = 4) -> int:
+    """Majority of the bits of all shingle hashes (last eight bytes of md5), as a signed number."""
+    grams = [kept[i : i + size] for i in range(max(len(kept) - size + 1, 1))]
+    tails = b"".join(hashlib.md5(g.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()[8:] for g in grams)
+    ones = np.unpackbits(np.frombuffer(tails, np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(grams)).tobytes(), "big", signed=True)
+
+
 def simhash(df: DataFrame, pos: str, text: str, out: str) -> DataFrame:
     """``pos, out``: 64-bit SimHash over 4-character shingles, weights by multiplicity; NULL is ''.
 
-    A bit is one if more than half of all shingles have it. All votes are partial
-    aggregates over shingle hashes.
+    A bit is one if more than half of all shingles have it. A map without shuffle;
+    the votes of a text are counted in one array.
     """
-    sh = df.select(F.col(pos).alias("pos"), F.explode(char_shingles(F.col(text))).alias("s"))
-    h = F.conv(F.substring(F.md5("s"), 17, 16), 16, -10).cast("bigint")
-    votes = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(F.lit(1).cast("bigint"))).alias(f"b{b}") for b in range(64)]
-    counted = sh.select("pos", h.alias("h")).groupBy("pos").agg(F.count("*").alias("n"), *votes)
-    bits = F.lit(0).cast("bigint")
-    for b in range(64):
-        bits = bits.bitwiseOR(F.when(F.col(f"b{b}") * 2 > F.col("n"), F.shiftleft(F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint")))
-    return counted.select("pos", bits.alias(out))
+    kept = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_]", "")
+    kind = df.schema[pos].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [_fingerprint(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["pos", out])
+
+    return df.select(F.col(pos).alias("pos"), kept.alias("kept")).mapInArrow(run, f"pos {kind}, `{out}` bigint")
 
 
 def simhash_pairs(prints: DataFrame, title_distance: int = 10, body_distance: int = 14) -> DataFrame:
