@@ -22,9 +22,12 @@ from pyspark.sql import types as T
 BITS = 18
 #: Characters in a window; mean log ratio from which it is residue; covered share from which a unit is.
 WINDOW, RATIO, COVERAGE = 12, 0.4, 0.6
-#: Share of grams known to the residue model from which a unit is no prose to learn from.
-#: Score of an n-gram that the residue model doesn't know, and bounds of all others.
+#: Share of grams known to the residue model from which a unit is no prose to learn from;
+#: grams that prose counts as having at least.
 FOREIGN, FLOOR = 0.75, 1_000_000
+#: Characters that go through the arrays at once; more only if one text is longer.
+CHUNK = 300_000
+#: Score of an n-gram that the residue model doesn't know, and bounds of all others.
 UNKNOWN, LOW, HIGH = -1.5, -3.0, 3.0
 
 # Training phrases of the residue model, by kind.
@@ -214,7 +217,14 @@ def unit_coverage(units: list[str], table: np.ndarray) -> np.ndarray:
 def flags(texts: list[str | None], table: np.ndarray) -> np.ndarray:
     """Whether each text holds residue; NULL, empty and blank texts do not."""
     out = np.zeros(len(texts), bool)
-    units, owner = [], []
+    units, owner, size = [], [], 0
+
+    def settle() -> None:
+        if units:
+            out[np.array(owner)[unit_coverage(units, table) >= COVERAGE]] = True
+        units.clear()
+        owner.clear()
+
     for i, raw in enumerate(texts):
         if not raw or raw.isspace():
             continue
@@ -227,8 +237,11 @@ def flags(texts: list[str | None], table: np.ndarray) -> np.ndarray:
             if u:
                 units.append(u)
                 owner.append(i)
-    if units:
-        out[np.array(owner)[unit_coverage(units, table) >= COVERAGE]] = True
+                size += len(u)
+        if size > CHUNK:
+            settle()
+            size = 0
+    settle()
     return out
 
 
@@ -241,7 +254,13 @@ def fit_prose(articles: DataFrame, columns: tuple[str, ...] = ("title", "content
         total = np.zeros((2, 1 << BITS), np.int64)
         for batch in batches:
             for c in batch.columns:
-                units = [u for x in c.to_pylist() if x for u in _UNITS.split(_normal(x)) if u]
+                units, size = [], 0
+                for x in c.to_pylist():
+                    units += [u for u in _UNITS.split(_normal(x)) if u] if x else []
+                    size += len(x or "")
+                    if size > CHUNK:
+                        total += gram_counts(units, known)
+                        units, size = [], 0
                 total += gram_counts(units, known)
         yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["t"])
 
