@@ -45,6 +45,8 @@ SEGMENT = (
     + r"|(?:https?://|www\.)[\w./?=&%#:~+@-]*[\w/=]|."
 )
 _OPENERS = "“‘「『｢《〈【〔（\"(['"
+#: Blanks and signs (emoji, joiners) that may stand before what follows.
+_GAP = r"(?:[ \t\xa0]|[\p{So}\p{Cf}\p{Mn}])*+"
 _WORD = r"(?<![\p{L}\p{N}.])"
 
 #: One pass; every alternative starts at the mark, so that nothing is tried elsewhere.
@@ -59,7 +61,7 @@ MASKS = (
     r"|(?<=[A-Za-z].)(?:(?<=(?<![\p{L}\p{N}])[A-Z].)(?=.)"
     rf"|(?<={_WORD}{_either(BEFORE_NAMES + BEFORE_NUMBERS + NEVER_LAST)}.)"
     r"|(?<=(?<![\p{L}\p{N}])[A-Za-z]{1,2}.)(?=[A-Za-z]\.)"
-    rf"|(?<={_WORD}{_either(SOMETIMES_LAST)}.)(?=[ \t\xa0]*+[a-z0-9,;:—–(-]))"
+    rf"|(?<={_WORD}{_either(SOMETIMES_LAST)}.)(?={_GAP}[a-z0-9,;:—–(-]))"
     rf"|(?<=[ऀ-ॿ].)(?<=(?<![ऀ-ॿ])(?:{'|'.join(HINDI)}).))"
 )
 #: What follows a closed quote when its sentence goes on.
@@ -67,7 +69,7 @@ GOES_ON = rf"[\p{{IsHangul}}\p{{IsHiragana}},，、;；:：{MARKS}{_MASK}]|\s*\p
 BOUNDARY = (
     rf"{_FINAL}[{CLOSERS}]+(?!{GOES_ON})"
     rf"|[!?。！？｡।॥][{MARKS}]*[{CLOSERS}]*(?![,，、;；])"
-    rf"|[.．][.．!?]*[{CLOSERS}]*(?![0-9A-Za-z_/@,;:，、；：-]|[ \t\xa0　]*[a-z])"
+    rf"|[.．][.．!?]*[{CLOSERS}]*(?![0-9A-Za-z_/@,;:，、；：-]|　*{_GAP}[a-z])"
     r"|\.(?<=[a-z].)(?=[A-Z][a-z ])"
     rf"|[ \t\xa0　](?<=[0-9฀-๿].)(?<=[฀-๿][0-9]{{0,12}}.)[ \t\xa0　]*+(?=[\p{{Lu}}\p{{Lo}}“‘「『\"'(\[])"
     rf"|[{_BR}]"
