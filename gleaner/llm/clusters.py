@@ -27,7 +27,7 @@ DIMENSIONS = 64
 TABLES, RECALL = 8, 0.999
 #: Vectors that chance brings into one bucket, about.
 BUCKET_MEAN = 64
-#: Rows of a bucket that one task takes; larger buckets are split by a hash of the id.
+#: Rows of a bucket that one task takes, about; larger buckets are split by a hash of the id, and what is left of their parts is held against each other.
 BUCKET_ROWS = 20_000
 _STEP = 512
 
@@ -116,6 +116,49 @@ def _absorb(least: float, dim: int):
     return run
 
 
+def _split(rows: DataFrame) -> DataFrame | None:
+    """``bucket, n`` of the buckets above ``BUCKET_ROWS``; None if there are none."""
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROWS)
+    large = materialize(sizes, "large")
+    return large if large.limit(1).count() else None
+
+
+def _absorbed(rows: DataFrame, least: float, dim: int) -> DataFrame:
+    """``item_id, pivot, sim`` of the rows absorbed within their bucket and salt."""
+    rows = rows.select("bucket", "salt", "item_id", "vec", "pri").repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "pri")
+    return materialize(rows.select("bucket", "salt", "item_id", "vec").mapInArrow(_absorb(least, dim), "item_id bigint, pivot bigint, sim float").distinct(), "edges")
+
+
+def _round(active: DataFrame, rnd: int, bits: int, n: int, least: float, dim: int) -> DataFrame:
+    """``item_id, pivot, sim`` of a round: of two similar vectors in one bucket, one is absorbed.
+
+    A bucket above ``BUCKET_ROWS`` is first absorbed part by part, which shrinks hot
+    clusters to a pivot a part. What is left of it is then held against all the rest:
+    if it is still above ``BUCKET_ROWS``, every two half-size parts are one task, so a
+    dense region without similar vectors costs the square of its rows but loses none.
+    """
+    rows = _signatures(active, rnd, bits, dim)
+    large = _split(rows) if n > BUCKET_ROWS else None
+    if large is None:
+        return _absorbed(rows.withColumn("salt", F.lit(0).cast("bigint")), least, dim)
+    marked = sized_join(rows, large, ["bucket"], "left", salt_on="item_id")
+    part = F.pmod("pri", F.ceil(F.col("n") / BUCKET_ROWS))
+    found = _absorbed(marked.withColumn("salt", F.coalesce(part, F.lit(0))), least, dim)
+
+    left = active.join(found.select("item_id").distinct(), "item_id", "left_anti")
+    rest = sized_join(_signatures(left, rnd, bits, dim), large.select("bucket"), ["bucket"], "left_semi", salt_on="item_id")
+    still = _split(rest)
+    if still is None:
+        rest = rest.withColumn("salt", F.lit(0).cast("bigint"))
+    else:
+        halves = still.select("bucket", F.ceil(2 * F.col("n") / BUCKET_ROWS).alias("parts"))
+        rest = sized_join(rest, halves, ["bucket"], "left", salt_on="item_id").withColumn("own", F.pmod("pri", "parts"))
+        others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), lambda k: k != F.col("own"))
+        tasks = F.transform(others, lambda k: F.least("own", k) * F.col("parts") + F.greatest("own", k))
+        rest = rest.withColumn("salt", F.explode(F.coalesce(tasks, F.array(F.lit(0).cast("bigint")))))
+    return found.unionByName(_absorbed(rest, least, dim))
+
+
 def pivot_clusters(items: DataFrame, least: float = SIMILAR, dim: int = DIMENSIONS) -> DataFrame:
     """``item_id, pivot, sim`` of every valid item: its cluster's pivot and the cosine to it.
 
@@ -129,16 +172,7 @@ def pivot_clusters(items: DataFrame, least: float = SIMILAR, dim: int = DIMENSIO
     bits, rounds = plan(n, least)
     active, edges = vectors, None
     for rnd in range(rounds):
-        rows = _signatures(active, rnd, bits, dim)
-        if n > BUCKET_ROWS:
-            sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROWS)
-            large = materialize(sizes.select("bucket", F.ceil(F.col("n") / BUCKET_ROWS).alias("parts")), "large")
-            rows = sized_join(rows, large, ["bucket"], "left", salt_on="item_id")
-            rows = rows.withColumn("salt", F.coalesce(F.pmod(F.col("pri"), F.col("parts")), F.lit(0)))
-        else:
-            rows = rows.withColumn("salt", F.lit(0).cast("bigint"))
-        rows = rows.select("bucket", "salt", "item_id", "vec", "pri").repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "pri")
-        found = materialize(rows.select("bucket", "salt", "item_id", "vec").mapInArrow(_absorb(least, dim), "item_id bigint, pivot bigint, sim float").distinct(), "edges")
+        found = _round(active, rnd, bits, n, least, dim)
         edges = found if edges is None else edges.unionByName(found)
         active = materialize(active.join(found.select("item_id").distinct(), "item_id", "left_anti"), "active")
     # every edge leads to an id of smaller hash, so following them ends at a root

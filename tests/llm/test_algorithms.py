@@ -61,6 +61,19 @@ def test_hot_bucket_is_split(spark, monkeypatch):
     assert rows_of(clusters.found_clusters(df)) == [(i, 0) for i in range(400)]
 
 
+def test_dense_bucket_loses_no_pair(spark, monkeypatch):
+    """Twins in a region whose vectors are else below the least cosine, in buckets far above the limit."""
+    monkeypatch.setattr(clusters, "BUCKET_ROWS", 4)
+    rnd = np.random.default_rng(3)
+    c = rnd.standard_normal(64)
+    x = c / np.linalg.norm(c) + rnd.standard_normal((100, 64)) * 0.75 / 8
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    assert 0.6 < (u @ u.T)[np.triu_indices(100, 1)].max() < 0.88
+    rows = [(i, [float(a) for a in x[i % 100] * (1 + i // 100)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "item_id bigint, embedding array<float>")
+    assert rows_of(clusters.found_clusters(df)) == [(i, i % 100) for i in range(200)]
+
+
 # ---- 6
 
 
