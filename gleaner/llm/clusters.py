@@ -4,8 +4,8 @@ Vectors meet in buckets of random hyperplane signatures. In every bucket the
 vectors are taken in the order of a hash of their id: the smallest is a pivot and
 absorbs its similar neighbours, the smallest of the rest is the next, and so on.
 Absorbed vectors leave; the pivots go on to the next round with new hyperplanes.
-At last every member is reassigned to the closest pivot, and medoids are computed
-from cluster sums. Buckets are read as streams against their pivots, so neither
+At last every member is reassigned to the closest pivot, members like none of them
+go into further rounds, and medoids are computed from cluster sums. Buckets are read as streams against their pivots, so neither
 all pairs of a bucket nor the bucket itself is ever held.
 """
 
@@ -159,20 +159,18 @@ def _round(active: DataFrame, rnd: int, bits: int, n: int, least: float, dim: in
     return found.unionByName(_absorbed(rest, least, dim))
 
 
-def pivot_clusters(items: DataFrame, least: float = SIMILAR, dim: int = DIMENSIONS) -> DataFrame:
-    """``item_id, pivot, sim`` of every valid item: its cluster's pivot and the cosine to it.
+def _placed(active: DataFrame, loose: DataFrame, first: int, least: float, dim: int) -> tuple[DataFrame, DataFrame, int]:
+    """Rounds from number ``first`` on over ``active`` (``item_id, pri, vec``), in which only ``loose`` items are absorbed.
 
-    An item that is like no other is its own pivot. Items whose vector is NULL,
-    zero, of another length or not finite are left out. Equal vectors meet in
-    every bucket. ``item_id`` must be a bigint without repeats; repeated rows of
-    an item count once.
+    Returns ``item_id, pivot, sim`` of the absorbed items that are like a pivot that
+    stays, ``item_id`` of those that are like none, and the number of the next round.
     """
-    vectors = materialize(valid_vectors(items, dim).dropDuplicates(["item_id"]), "vectors")
-    n = vectors.count()
+    n = active.count()
     bits, rounds = plan(n, least)
-    active, edges = vectors, None
-    for rnd in range(rounds):
+    vectors, edges = active, None
+    for rnd in range(first, first + rounds):
         found = _round(active, rnd, bits, n, least, dim)
+        found = found if loose is vectors else found.join(loose.select("item_id"), "item_id", "left_semi")
         edges = found if edges is None else edges.unionByName(found)
         active = materialize(active.join(found.select("item_id").distinct(), "item_id", "left_anti"), "active")
     # every edge leads to an id of smaller hash, so following them ends at a root
@@ -189,6 +187,30 @@ def pivot_clusters(items: DataFrame, least: float = SIMILAR, dim: int = DIMENSIO
     near = roots.join(heads, "pivot").join(vectors.select("item_id", "vec"), "item_id")
     dot = F.aggregate(F.zip_with("vec", "head", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, b: a + b)
     closest = near.select("item_id", "pivot", dot.alias("sim")).where(F.col("sim") >= least - 1e-6).groupBy("item_id").agg(F.max_by("pivot", F.struct("sim", "pivot")).alias("pivot"), F.max("sim").alias("sim"))
+    closest = materialize(closest, "closest")
+    return closest, materialize(up.select("item_id").join(closest, "item_id", "left_anti"), "lost"), first + rounds
+
+
+def pivot_clusters(items: DataFrame, least: float = SIMILAR, dim: int = DIMENSIONS) -> DataFrame:
+    """``item_id, pivot, sim`` of every valid item: its cluster's pivot and the cosine to it.
+
+    An item that is like no other is its own pivot. Items whose vector is NULL,
+    zero, of another length or not finite are left out. Equal vectors meet in
+    every bucket. ``item_id`` must be a bigint without repeats; repeated rows of
+    an item count once.
+
+    Where similarity has chains, an item may be absorbed by one that goes to a pivot
+    unlike it. Such items go into further rounds, behind all pivots that stay, until
+    each is with a similar pivot or is one itself; every turn settles one at least.
+    """
+    vectors = materialize(valid_vectors(items, dim).dropDuplicates(["item_id"]), "vectors")
+    closest, lost, rnd = _placed(vectors, vectors, 0, least, dim)
+    while lost.limit(1).count():
+        half = F.shiftright(F.xxhash64("item_id"), 1)
+        loose = vectors.join(lost, "item_id", "left_semi").withColumn("pri", half + F.lit(1 << 62))
+        stay = vectors.join(closest.select("item_id").unionByName(lost), "item_id", "left_anti").withColumn("pri", half - F.lit(1 << 62))
+        more, lost, rnd = _placed(materialize(stay.unionByName(loose), "active"), lost, rnd, least, dim)
+        closest = closest.unionByName(more)
     return vectors.select("item_id").join(closest, "item_id", "left").select("item_id", F.coalesce("pivot", "item_id").alias("pivot"), F.coalesce("sim", F.lit(1.0)).alias("sim"))
 
 

@@ -74,6 +74,24 @@ def test_dense_bucket_loses_no_pair(spark, monkeypatch):
     assert rows_of(clusters.found_clusters(df)) == [(i, i % 100) for i in range(200)]
 
 
+def test_chains_leave_no_similar_items_alone(spark):
+    """Many chains p - q - i of which only neighbours are similar, each end doubled."""
+    rnd = np.random.default_rng(4)
+    rows = []
+    for k in range(40):
+        a, b = np.linalg.qr(rnd.standard_normal((64, 2)))[0].T
+        turns = [0.0, 0.45, 0.9, 0.9, 1.35, 1.35]
+        rows += [(k * 6 + j, [float(v) for v in np.cos(t) * a + np.sin(t) * b]) for j, t in enumerate(turns)]
+    df = spark.createDataFrame(rows, "item_id bigint, embedding array<float>")
+    got = {r.item_id: r for r in clusters.pivot_clusters(df).collect()}
+    u = np.stack([v for _, v in rows])
+    near = u @ u.T >= 0.88
+    pivots = {i for i in got if got[i].pivot == i}
+    assert {r.pivot for r in got.values()} <= pivots
+    assert all(near[i, got[i].pivot] for i in got)
+    assert not any(near[i, j] for i in pivots for j in pivots if i < j)
+
+
 # ---- 6
 
 
