@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from gleaner.session import materialize, sized_join
 
 #: Rows that one density clustering takes; it is meant for one short window of rows.
 WINDOW_ROWS = 20_000
+#: Queries that one pass of the vector search holds against all rows.
+QUERY_ROWS = 2_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -30,15 +33,27 @@ def cosine(a: Column, b: Column) -> Column:
 def topk(corpus: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, sim``: the ``k`` corpus vectors closest to each query.
 
-    The queries are a stated, small set (checked: at most 10,000) that is held
-    against all rows in one pass; each batch keeps its best ``k`` per query before the
-    shuffle. Vectors that are NULL or of another length have no rank.
+    The queries are held against all rows in blocks of ``QUERY_ROWS``, one pass a
+    block; each batch keeps its best ``k`` per query before the shuffle. Where there
+    is more than one block, each block's result is written, so the driver holds one
+    block at a time. Vectors that are NULL or of another length have no rank.
     """
-    if queries.limit(10_001).count() > 10_000:
-        raise ValueError("split the query set into blocks of at most 10,000")
-    held = queries.where("embedding is not null").select("query_id", "embedding").toPandas()
-    ids = held["query_id"].to_numpy(np.int64)
-    q = np.stack(held["embedding"]).astype(np.float64) if len(ids) else np.empty((0, 0))
+    whole = queries.where("embedding is not null").select("query_id", "embedding")
+    blocks = itertools.batched(whole.toLocalIterator(), QUERY_ROWS)
+    block, ahead = next(blocks, ()), next(blocks, None)
+    out = _topk_block(corpus, block, k)
+    if ahead is None:
+        return out
+    out = materialize(out, "topk")
+    for block in itertools.chain([ahead], blocks):
+        out = out.unionByName(materialize(_topk_block(corpus, block, k), "topk"))
+    return out
+
+
+def _topk_block(corpus: DataFrame, block: tuple, k: int) -> DataFrame:
+    """``topk`` for one block of query rows."""
+    ids = np.array([r["query_id"] for r in block], np.int64)
+    q = np.array([r["embedding"] for r in block], np.float64) if len(ids) else np.empty((0, 0))
     q /= np.where((n := np.linalg.norm(q, axis=1, keepdims=True)) > 0, n, 1) if len(ids) else 1
     dim = q.shape[1]
 

@@ -133,3 +133,14 @@ def test_vector_search_and_silhouette(spark):
         s.append((b - np.mean(own)) / max(b, np.mean(own)))
     assert abs(vectors.silhouette(df).first()[0] - np.mean(s)) < 1e-5
     assert vectors.silhouette(df.limit(0)).first()[0] == 0.0
+
+
+def test_topk_in_blocks_of_queries(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((40, 8))
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    queries = spark.range(10_050).selectExpr("id as query_id", "id % 40 as vec_id").join(df, "vec_id").select("query_id", "embedding")
+    got = {(r.query_id, r.rank): r.vec_id for r in vectors.topk(df, queries, 2).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    best = np.argsort(-(u @ u.T), axis=1)[:, :2]
+    assert got == {(i, k + 1): int(best[i % 40, k]) for i in range(10_050) for k in range(2)}
