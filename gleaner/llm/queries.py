@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from gleaner.llm import bpe, clusters, components, history, leakage, residue, sentences, site_lines, survivors
 from gleaner.session import table
 
@@ -117,8 +115,7 @@ def p5_survivors(spark, d):
 
 @query("p5_values")
 def p5_values(spark, d):
-    judged, _ = survivors.judged_values(table(spark, d, "raw_articles"), "title")
-    return judged.select("news_id", "value", "n_claims", F.round("p_true", 4).alias("p_true"))
+    return survivors.judged_fields(table(spark, d, "raw_articles"))
 
 
 @query("p10_sentences")

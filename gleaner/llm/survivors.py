@@ -111,3 +111,16 @@ def judged_values(
         if moved < 1e-4:
             break
     return facts.join(votes, ["news_id", "vid"]).select("news_id", "value", "n_claims", F.col("p").alias("p_true")), quality
+
+
+def judged_fields(articles: DataFrame) -> DataFrame:
+    """``news_id, field_name, value, n_claims, p_true, is_true`` of every claimed value of the four fields.
+
+    Each field has its own model, as a source may be good in one and poor in another.
+    """
+    out = None
+    for f in FIELDS:
+        judged, _ = judged_values(articles, f)
+        part = judged.select("news_id", F.lit(f).alias("field_name"), "value", "n_claims", F.round("p_true", 4).alias("p_true"), (F.col("p_true") >= 0.5).alias("is_true"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -165,6 +165,17 @@ def test_quality_model_finds_the_poor_source(spark):
     assert by["bad"] < 0.6 < 0.8 < by["a"]
 
 
+def test_quality_model_judges_all_fields(spark, tmp_path):
+    from gleaner.llm.queries import QUERIES
+
+    rows = [(f"n{i}", f"k{j}", f"t{i}", f"d{i}", f"c{i}" if j else f"bad{i}", f"p{i}") for i in range(12) for j in range(4)]
+    articles = spark.createDataFrame(rows, "news_id string, search_keyword string, title string, description string, content string, pubdate string")
+    articles.write.parquet(f"{tmp_path}/raw_articles.parquet")
+    got = {(r.news_id, r.field_name, r.value): r.is_true for r in QUERIES["p5_values"](spark, str(tmp_path)).collect()}
+    want = {(f"n{i}", f, f"{f[0]}{i}"): True for i in range(12) for f in survivors.FIELDS}
+    assert got == want | {(f"n{i}", "content", f"bad{i}"): False for i in range(12)}
+
+
 # ---- 7
 
 
