@@ -168,7 +168,7 @@ def with_article_instants(articles: DataFrame, press_sites: DataFrame) -> DataFr
     """
     zones = press_sites.select(F.lower("site").alias("site"), F.col("time_zone").alias("__zone")).dropDuplicates(["site"])
     rows = articles.withColumn("site", host_of(F.col("originallink")))
-    rows = sized_join(rows, zones, ["site"], "left", salt_on="row_id")
+    rows = sized_join(rows, zones, ["site"], "left")
     rows = with_instant(rows, "pubdate", "pub_ms", F.coalesce("__zone", F.lit(SEOUL)))
     return with_instant(rows, "collected_at", "col_ms", F.lit(SEOUL)).drop("__zone")
 

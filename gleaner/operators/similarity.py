@@ -113,7 +113,7 @@ def leader_groups(df: DataFrame, pos: str, text: str, least: float) -> DataFrame
     rows = df.select(F.col(pos).alias("pos"), F.when(F.size(tokens) > 0, F.md5(F.array_join(tokens, " "))).alias("c"))
     classes = rows.where("c is not null").groupBy("c").agg(F.min("pos").alias("rep"), F.count("*").alias("n"))
     classes = materialize(classes, "classes")
-    member = materialize(sized_join(rows, classes, ["c"], "left", salt_on="pos", row_bytes=80).select("pos", F.coalesce("rep", "pos").alias("rep"), F.coalesce("n", F.lit(1)).alias("n")), "member")
+    member = materialize(sized_join(rows, classes, ["c"], "left").select("pos", F.coalesce("rep", "pos").alias("rep"), F.coalesce("n", F.lit(1)).alias("n")), "member")
     edges = materialize(similar_pairs(df, pos, text, least, member), "similar")
     chosen = materialize(leaders(classes.select(F.col("rep").alias("pos")), edges), "chosen")
     heads = chosen.where("leader = pos").select(F.col("pos").alias("head"))
@@ -173,7 +173,7 @@ def elect(df: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     order = F.struct(F.when(agency, 0).otherwise(1).alias("g"), F.coalesce(F.when(agency, -t).otherwise(t), F.lit(1 << 62)).alias("t"), F.col("pos").alias("p"), F.col("news_id").alias("id"))
     won = materialize(df.groupBy(cluster).agg(F.min(order)["id"].alias("replaced_by")), "won")
     ids = won.select(F.col("replaced_by").alias("news_id")).distinct().withColumn("__c", F.lit(True))
-    out = sized_join(df, won, [cluster], salt_on="pos").join(ids, "news_id", "left")
+    out = sized_join(df, won, [cluster]).join(ids, "news_id", "left")
     return out.withColumn("is_canon", F.coalesce("__c", F.lit(False))).drop("__c")
 
 

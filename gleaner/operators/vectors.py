@@ -86,7 +86,7 @@ def centroids(df: DataFrame, label: str = "label", dim: int = 64) -> DataFrame:
 def representatives(df: DataFrame, label: str = "label", k: int = 5, dim: int = 64) -> DataFrame:
     """``label, rank, vec_id, sim``: the ``k`` members closest to each centroid."""
     centres = materialize(centroids(df, label, dim).select(label, "centroid"), "centres")
-    sims = sized_join(df, centres, [label], salt_on="vec_id", row_bytes=8 * dim).select(label, "vec_id", F.round(cosine(F.col("embedding"), F.col("centroid")), 9).alias("sim"))
+    sims = sized_join(df, centres, [label]).select(label, "vec_id", F.round(cosine(F.col("embedding"), F.col("centroid")), 9).alias("sim"))
     order = [F.col("sim").desc(), F.col("vec_id")]
     part = W.partitionBy(label, F.pmod("vec_id", F.lit(64))).orderBy(*order)
     best = sims.withColumn("r", F.row_number().over(part)).where(F.col("r") <= k)

@@ -8,23 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.session import hadoop_path
+
+# Columns of an article archive, in their order.
 COLUMNS = ["search_keyword", "news_id", "pubdate", "collected_at", "title", "description", "link", "originallink", "content"]
 SCHEMA = ", ".join(f"{c} string" for c in COLUMNS)
 META = "issue_cluster_id int, issue_label string, cluster_size int, representative_titles array<string>"
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p)
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
@@ -55,15 +53,25 @@ def ordered(df: DataFrame, columns: list[str] = COLUMNS) -> DataFrame:
 
 
 def replace(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
-    """Overwrite through a staging folder, so that a table may be derived from the one it replaces."""
+    """Overwrite through a staging folder, so that a table may be derived from the one it replaces.
+
+    The old table is set aside before the new one takes its name and deleted last,
+    so a crash at any step leaves one of both whole.
+    """
     spark = df.sparkSession
     stage = f"{path}.stage-{uuid.uuid4().hex}"
     df.write.format(fmt).options(**options).save(stage)
-    fs, old = _fs(spark, path)
-    _, new = _fs(spark, stage)
-    fs.delete(old, True)
+    fs, old = hadoop_path(spark, path)
+    _, new = hadoop_path(spark, stage)
+    _, aside = hadoop_path(spark, f"{stage}.old")
+    had = fs.exists(old)
+    if had and not fs.rename(old, aside):
+        raise OSError(f"could not set {path} aside")
     if not fs.rename(new, old):
+        if had:
+            fs.rename(aside, old)
         raise OSError(f"could not move {stage} to {path}")
+    fs.delete(aside, True)
 
 
 def append_rejects(df: DataFrame, path: str) -> None:
@@ -84,12 +92,36 @@ def read_state(spark: SparkSession, path: str) -> dict[str, str]:
     """Small key-value state; a missing file is empty."""
     if not exists(spark, path):
         return {}
-    return json.loads("\n".join(r[0] for r in spark.read.text(path).collect()))
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def write_state(spark: SparkSession, path: str, state: dict, history: str | None = None) -> None:
+    """Replace a small state file; the former one moves to the folder ``history``, or is dropped.
+
+    The new text is written beside it first. A former file that can't be moved is
+    no reason to fail: it is overwritten.
+    """
+    fs, old = hadoop_path(spark, path)
+    _, new = hadoop_path(spark, f"{path}.new-{uuid.uuid4().hex}")
+    out = fs.create(new, True)
+    out.write(bytearray(json.dumps(state, ensure_ascii=False, indent=2, sort_keys=True).encode()))
+    out.close()
+    if fs.exists(old):
+        if history:
+            _, folder = hadoop_path(spark, history)
+            fs.mkdirs(folder)
+            n = len(fs.listStatus(folder))
+            _, kept = hadoop_path(spark, f"{history}/{n:06d}-{old.getName()}")
+            fs.rename(old, kept)
+        if fs.exists(old):
+            fs.delete(old, False)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {new} to {path}")
 
 
 def latest_run(spark: SparkSession, root: str) -> str:
     """Lexicographically last folder below ``root``."""
-    fs, p = _fs(spark, root)
+    fs, p = hadoop_path(spark, root)
     names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
     if not names:
         raise FileNotFoundError(f"no runs in {root}")
