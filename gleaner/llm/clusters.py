@@ -141,18 +141,18 @@ def _round(active: DataFrame, rnd: int, bits: int, n: int, least: float, dim: in
     large = _split(rows) if n > BUCKET_ROWS else None
     if large is None:
         return _absorbed(rows.withColumn("salt", F.lit(0).cast("bigint")), least, dim)
-    marked = sized_join(rows, large, ["bucket"], "left", salt_on="item_id")
+    marked = sized_join(rows, large, ["bucket"], "left")
     part = F.pmod("pri", F.ceil(F.col("n") / BUCKET_ROWS))
     found = _absorbed(marked.withColumn("salt", F.coalesce(part, F.lit(0))), least, dim)
 
     left = active.join(found.select("item_id").distinct(), "item_id", "left_anti")
-    rest = sized_join(_signatures(left, rnd, bits, dim), large.select("bucket"), ["bucket"], "left_semi", salt_on="item_id")
+    rest = sized_join(_signatures(left, rnd, bits, dim), large.select("bucket"), ["bucket"], "left_semi")
     still = _split(rest)
     if still is None:
         rest = rest.withColumn("salt", F.lit(0).cast("bigint"))
     else:
         halves = still.select("bucket", F.ceil(2 * F.col("n") / BUCKET_ROWS).alias("parts"))
-        rest = sized_join(rest, halves, ["bucket"], "left", salt_on="item_id").withColumn("own", F.pmod("pri", "parts"))
+        rest = sized_join(rest, halves, ["bucket"], "left").withColumn("own", F.pmod("pri", "parts"))
         others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), lambda k: k != F.col("own"))
         tasks = F.transform(others, lambda k: F.least("own", k) * F.col("parts") + F.greatest("own", k))
         rest = rest.withColumn("salt", F.explode(F.coalesce(tasks, F.array(F.lit(0).cast("bigint")))))
@@ -233,13 +233,13 @@ def issue_rows(items: DataFrame, top: int = 5, dim: int = DIMENSIONS) -> DataFra
     sums = member.groupBy("issue_cluster_id").agg(F.count("*").alias("cluster_size"), *[F.sum(F.get("vec", F.lit(i)).cast("double")).alias(f"s{i}") for i in range(dim)])
     sums = materialize(sums.select("issue_cluster_id", "cluster_size", F.array(*[f"s{i}" for i in range(dim)]).alias("total")), "sums")
     product = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda p, q: p + q)
-    scored = sized_join(member, sums, ["issue_cluster_id"], salt_on="item_id", row_bytes=640)
+    scored = sized_join(member, sums, ["issue_cluster_id"])
     rank = F.struct(F.round(product("vec", "total"), 9).alias("s"), (-F.col("item_id")).alias("i"))
     medoid = scored.groupBy("issue_cluster_id", "cluster_size").agg(F.max(rank).alias("m")).select("issue_cluster_id", "cluster_size", (-F.col("m.i")).alias("medoid_item_id"))
     heads = member.select(F.col("item_id").alias("medoid_item_id"), F.col("vec").alias("head"))
     medoid = materialize(medoid.join(heads, "medoid_item_id"), "medoids")
     titles = items.where("title is not null").groupBy("item_id").agg(F.min("title").alias("title"))
-    close = sized_join(member.select("item_id", "issue_cluster_id", "vec"), medoid.select("issue_cluster_id", "head"), ["issue_cluster_id"], salt_on="item_id", row_bytes=320)
+    close = sized_join(member.select("item_id", "issue_cluster_id", "vec"), medoid.select("issue_cluster_id", "head"), ["issue_cluster_id"])
     close = close.select("item_id", "issue_cluster_id", F.round(product("vec", "head"), 9).alias("sim")).join(titles, "item_id")
     once = close.groupBy("issue_cluster_id", "title").agg(F.max("sim").alias("sim"), F.min("item_id").alias("first"))
     # ten salts keep the best of their share, then the best of those are merged

@@ -1,12 +1,13 @@
-"""Deduplicating new batches against all history: a prefix-tree hash forest.
+"""Deduplicating new batches against all history: a persisted prefix-tree hash forest.
 
 Every text has one minhash signature per tree, packed into a 64-bit key whose
-prefixes are the tree's levels. A run of the forest is a written table of keys,
-sorted within each tree; runs merge by union. A batch is looked up by key range:
-first at full depth against the oldest text of each range, then, for what is
-still open, with prefixes widened until the recall target holds, against every
-text of the range. Candidates are verified by the longest common subsequence of
-their words.
+prefixes are the tree's levels. A run of the forest is a written table of such keys,
+sorted within each tree by range; the index is a folder of runs and a manifest.
+A batch is signed once, looked up in the stored runs by key range, at full depth
+first, then with prefixes widened level by level until the recall target holds, and
+appended as a run of its own; runs are merged when there are many. History is
+signed once, when its run is built; later only its keys are read, and the words of
+candidates, which the longest common subsequence verifies.
 """
 
 from __future__ import annotations
@@ -14,26 +15,40 @@ from __future__ import annotations
 import html
 import math
 import re
+import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Container, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.functions.sites import link_key
-from gleaner.llm.site_lines import article_lines, normal_lines, repeated_lines
-from gleaner.session import materialize, sized_join
+from gleaner.functions.sites import host_of, link_key
+from gleaner.llm.site_lines import article_lines, line_hash, normal_lines, repeated_lines
+from gleaner.session import BROADCAST_BYTES, counted, discard, hadoop_path, materialize, shared_dir, table_bytes
+from gleaner.sources import archives
 
 #: Least share of each text's words that stand in the other in the same order.
 SHARE = 0.9
 TREES, DEPTH = 24, 8
 RECALL = 0.9995
-#: Raw rows come before all incoming rows in the order of arrival.
-RAW_SHIFT = 1 << 61
+#: Bits of the sketch of a text, and how many may differ in a pair: at the bound 11.6 do on average, more than 27 in
+#: 1 of 100,000 pairs.
+SKETCH, DIFFER = 128, 27
+#: Runs from which an append merges them.
+MANY_RUNS = 16
+#: Rows that consecutive batches are taken together for in one arrival; a larger batch is an arrival of its own.
+ARRIVAL_ROWS = 10_000
+#: Blocks of a batch's keys that are broadcast one by one.
+MANY_BLOCKS = 64
+#: Bytes of a row of keys in memory.
+KEY_BYTES = 80
 _MARKS = re.compile(r"[\W_]+")
+KEYS = "tree int, key bigint, ord bigint, n int, s1 bigint, s2 bigint, run int"
+TEXTS = "ord bigint, l1 bigint, l2 bigint, h1 bigint, h2 bigint, n int, words array<int>, keys array<bigint>, s1 bigint, s2 bigint"
 
 
 def least_jaccard(share: float = SHARE) -> float:
@@ -47,14 +62,18 @@ def widest_depth(recall: float = RECALL, trees: int = TREES, share: float = SHAR
     return next(d for d in range(DEPTH, 0, -1) if 1 - (1 - s**d) ** trees >= recall or d == 1)
 
 
-def text_words(content: str | None, gone: list[int] | None) -> list[str]:
-    """Words of a text without the lines numbered in ``gone``: entities resolved, NFKC, lower case, letters and digits."""
+def text_words(content: str | None, gone: Collection[int] = (), known: Container[tuple] = (), site: str = "") -> list[str]:
+    """Words of a text: entities resolved, NFKC, lower case, letters and digits.
+
+    Lines numbered in ``gone``, or whose ``(site, hash, hash)`` is ``known``, are left aside.
+    """
     if not content:
         return []
     lines = normal_lines(content)
     if gone:
-        out = set(gone)
-        lines = [x for k, x in enumerate(lines, 1) if k not in out]
+        lines = [x for k, x in enumerate(lines, 1) if k not in gone]
+    if known:
+        lines = [x for x in lines if (site, *line_hash(x)) not in known]
     text = " ".join(lines)
     if "&" in text:
         text = " ".join(normal_lines(html.unescape(text)))
@@ -84,19 +103,26 @@ def nearly_same(a: list[int], b: list[int], share: float = SHARE) -> bool:
     return common_words(a, b) >= need
 
 
-def _signed_texts(rows: DataFrame) -> DataFrame:
-    """``ord, h1, h2, n, words, keys`` of every text with words; ``rows``: ord, content, gone."""
+# ---- signing
+
+
+def _signed_rows(rows: DataFrame, known: set[tuple[str, int, int]] | None) -> DataFrame:
+    """``TEXTS`` of every row; ``rows``: ord, l1, l2, site, content, gone. Without words only ``ord, l1, l2`` are set."""
+    shared = rows.sparkSession.sparkContext.broadcast(known or frozenset())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(104729)
+        site_lines, rng = shared.value, np.random.default_rng(104729)
         mul = (rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
         shift = np.uint64(8) * np.arange(DEPTH - 1, -1, -1, dtype=np.uint64)
         memory: dict[str, int] = {}
         for batch in batches:
-            ords, h1, h2, ns, words, keys = [], [], [], [], [], []
-            for o, content, gone in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                w = text_words(content, gone)
+            h1, h2, ns, words, keys, sketch = [], [], [], [], [], []
+            for site, content, gone in zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)), strict=True):
+                w = text_words(content, gone or (), site_lines, site)
                 if not w:
+                    for x in (h1, h2, ns, words, keys):
+                        x.append(None)
+                    sketch.append((None, None))
                     continue
                 if len(memory) > 500_000:
                     memory.clear()
@@ -119,38 +145,197 @@ def _signed_texts(rows: DataFrame) -> DataFrame:
                 low *= np.uint64(0xBF58476D1CE4E5B9)
                 value = (low >> np.uint64(56)).reshape(TREES, DEPTH)
                 keys.append((value << shift).sum(1, dtype=np.uint64).astype(np.int64))
+                bits = np.packbits(((low[:SKETCH] >> np.uint64(40)) & np.uint64(1)).astype(np.uint8)).view(">i8")
+                sketch.append((int(bits[0]), int(bits[1])))
                 whole = xxhash.xxh3_128_intdigest(arr.tobytes())
-                ords.append(o)
                 h1.append((whole >> 64) - (1 << 63))
                 h2.append((whole & (1 << 64) - 1) - (1 << 63))
                 ns.append(len(w))
                 words.append((arr & np.uint64(0x7FFFFFFF)).astype(np.int32))
-            if ords:
-                ends = np.cumsum([0, *map(len, words)], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ords, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(ns, pa.int32()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(words))),
-                        pa.ListArray.from_arrays(pa.array(np.arange(0, len(ords) * TREES + 1, TREES, dtype=np.int32)), pa.array(np.concatenate(keys))),
-                    ],
-                    names=["ord", "h1", "h2", "n", "words", "keys"],
-                )
+            s1, s2 = zip(*sketch) if sketch else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:3], pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(ns, pa.int32()),
+                    pa.array(words, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64())), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+                ],
+                names=["ord", "l1", "l2", "h1", "h2", "n", "words", "keys", "s1", "s2"],
+            )
+
+    return rows.select("ord", "l1", "l2", "site", "content", "gone").mapInArrow(run, TEXTS)
+
+
+def _signed(articles: DataFrame, site_lines: DataFrame, small: bool) -> DataFrame:
+    """Articles signed without their sites' own lines; ``site_lines``: site, h1, h2.
+
+    A text whose site is unknown is freed of the lines of every site: it may be a
+    copy of one that has a site. A table of lines below ``BROADCAST_BYTES`` goes to
+    the workers; a larger one is joined to the lines of the texts.
+    """
+    key = link_key(F.col("link"))
+    rows = articles.select(
+        F.col("row_id").alias("ord"), F.when(key.isNotNull(), F.xxhash64(key)).alias("l1"), F.when(key.isNotNull(), F.xxhash64(F.lit(7919), key)).alias("l2"),
+        F.coalesce(host_of(F.col("originallink")), F.lit("")).alias("site"), "content",
+    )
+    none = F.lit(None).cast("array<int>")
+    if small:
+        return _signed_rows(rows.withColumn("gone", none), {tuple(r) for r in site_lines.toLocalIterator()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, no, keys = [], [], []
+            for i, content in enumerate(batch.column(2).to_pylist()):
+                for k, line in enumerate(normal_lines(content), 1):
+                    if line:
+                        at.append(i)
+                        no.append(k)
+                        keys.append(line_hash(line))
+            ids = batch.take(pa.array(at, pa.int32()))
+            h1, h2 = zip(*keys) if keys else ((), ())
+            yield pa.RecordBatch.from_arrays([*ids.columns[:2], pa.array(no, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=["ord", "site", "line_no", "h1", "h2"])
+
+    lines = rows.select("ord", "site", "content").where("content is not null").mapInArrow(run, "ord bigint, site string, line_no int, h1 bigint, h2 bigint")
+    hit = lines.join(site_lines.hint("merge"), ["site", "h1", "h2"], "left_semi")
+    gone = hit.groupBy("ord").agg(F.collect_set("line_no").alias("gone"))
+    return _signed_rows(rows.join(gone.hint("merge"), "ord", "left"), None)
+
+
+# ---- the index
+
 
-    return rows.select("ord", "content", "gone").mapInArrow(run, "ord bigint, h1 bigint, h2 bigint, n int, words array<int>, keys array<bigint>")
+def _manifest(spark: SparkSession, path: str) -> dict:
+    state = archives.read_state(spark, f"{path}/manifest.json")
+    if not state:
+        raise FileNotFoundError(f"no index in {path}")
+    return state
 
 
-def forest_run(texts: DataFrame) -> DataFrame:
-    """A run of the forest: ``tree, key, ord, n``, written in key order within each tree."""
-    rows = texts.select(F.posexplode("keys").alias("tree", "key"), "ord", "n")
-    return materialize(rows.repartition(F.col("tree"), F.shiftright("key", 48)).sortWithinPartitions("tree", "key"), "run")
+def _read(spark: SparkSession, path: str, runs: list[str], part: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(*[f"{path}/{r}/{part}" for r in runs])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _write_keys(keys: DataFrame, path: str) -> int:
+    """Write keys in order of tree and key: files of disjoint ranges, which statistics of a range find. Returns their number."""
+    seen = Observation()
+    rows = keys.repartitionByRange("tree", "key").sortWithinPartitions("tree", "key").observe(seen, F.count(F.lit(1)).alias("n"))
+    rows.write.option("compression", "zstd").parquet(path)
+    return seen.get["n"]
+
+
+def _class_firsts(texts: DataFrame) -> DataFrame:
+    """Oldest row of every class of equal texts."""
+    return texts.where("h1 is not null").groupBy("h1", "h2").agg(F.min("ord").alias("ord")).select("ord")
+
+
+def _keys_of(texts: DataFrame, firsts: DataFrame, run: int) -> DataFrame:
+    rows = texts.join(firsts, "ord", "left_semi")
+    return rows.select(F.posexplode("keys").alias("tree", "key"), "ord", "n", "s1", "s2", F.lit(run).alias("run"))
+
+
+def build(articles: DataFrame, path: str) -> None:
+    """A new index at ``path`` (a folder that all executors share) with the articles as its first run.
+
+    The lines that recur on a site are found over these articles, written beside
+    the run and left aside in every later batch. Texts without words have no keys; equal
+    texts are one class with the keys of its oldest row. An empty table gives an
+    index that knows nothing.
+    """
+    spark = articles.sparkSession
+    lines = materialize(article_lines(articles, ["row_id", "news_id"]), "lines")
+    repeated = repeated_lines(lines)
+    own = repeated.select("site", "h1", "h2")
+    every = own.select(F.lit("").alias("site"), "h1", "h2").distinct()
+    own.unionByName(every).write.parquet(f"{path}/site_lines")
+    discard(lines, repeated)
+    site_lines = spark.read.schema("site string, h1 bigint, h2 bigint").parquet(f"{path}/site_lines")
+    size = table_bytes(site_lines)
+    run = f"run-{uuid.uuid4().hex}"
+    _signed(articles, site_lines, size <= BROADCAST_BYTES).write.option("compression", "zstd").parquet(f"{path}/{run}/texts")
+    texts = spark.read.schema(TEXTS).parquet(f"{path}/{run}/texts")
+    _write_keys(_keys_of(texts, _class_firsts(texts), 0), f"{path}/{run}/keys")
+    archives.write_state(spark, f"{path}/manifest.json", {"runs": [run], "next": 1, "site_lines": size})
+
+
+def merge_runs(spark: SparkSession, path: str) -> None:
+    """One run in place of all: key tables are merged by range, text tables moved together.
+
+    The manifest changes last, so a crash leaves the old runs in force.
+    """
+    state = _manifest(spark, path)
+    if len(state["runs"]) < 2:
+        return
+    run = f"run-{uuid.uuid4().hex}"
+    _write_keys(_read(spark, path, state["runs"], "keys", KEYS), f"{path}/{run}/keys")
+    _read(spark, path, state["runs"], "texts", TEXTS).write.option("compression", "zstd").parquet(f"{path}/{run}/texts")
+    archives.write_state(spark, f"{path}/manifest.json", {**state, "runs": [run]})
+    for old in state["runs"]:
+        fs, p = hadoop_path(spark, f"{path}/{old}")
+        fs.delete(p, True)
+
+
+def _seen_before(batch: DataFrame, texts: DataFrame, first: str, second: str) -> DataFrame:
+    """``ord`` of batch rows whose pair of hashes an older text of the index or of the batch has.
+
+    Only hashes of the batch are kept of the index, and only the oldest row of each.
+    """
+    asked = batch.where(f"{first} is not null").select(first, second, "ord")
+    mine = asked.groupBy(first, second).agg(F.min("ord").alias("oldest"))
+    ids = asked.select(first, second).distinct()
+    old = texts.select(first, second).join(ids, [first, second], "left_semi").distinct().withColumn("known", F.lit(True))
+    return asked.join(mine, [first, second]).join(old, [first, second], "left").where("known or ord > oldest").select("ord")
+
+
+def _in_range(runs: DataFrame, asked: DataFrame, n_asked: int, depth: int) -> DataFrame:
+    """``q, tree, c``: older texts ``c`` in the key range that the first ``depth`` levels of a batch key span.
+
+    Pairs must also agree in length and in their sketches as the bound demands. The
+    batch's keys are cut into blocks of consecutive ranges that each fit a broadcast;
+    a block reads only the files of the runs that its range touches, so runs are
+    searched where they lie and never shuffled. One range that doesn't fit a
+    block alone, or a batch of more than ``MANY_BLOCKS`` blocks, which would touch all
+    of every run anyway, is joined by sort and merge, split by the adaptive skew join.
+    """
+    cut = 8 * (DEPTH - depth)
+    q = asked.select("tree", F.shiftright("key", cut).alias("p"), F.col("ord").alias("q"), F.col("n").alias("qn"), F.col("s1").alias("q1"), F.col("s2").alias("q2"), F.col("run").alias("qrun"), _cell("tree", "key").alias("cell"))
+    near = F.bit_count(F.col("s1").bitwiseXOR(F.col("q1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("q2"))) <= DIFFER
+    ratio = F.least("n", "qn") >= F.ceil(F.greatest("n", "qn") * SHARE - 1e-9)
+    older = (F.col("run") < F.col("qrun")) | (F.col("ord") < F.col("q"))
+    c = runs.select("tree", "key", "ord", "n", "s1", "s2", "run")
+
+    def search(part: DataFrame, where: Column | None, hint: str) -> DataFrame:
+        mine = c if where is None else c.where(where)
+        mine = mine.select("tree", F.shiftright("key", cut).alias("p"), "ord", "n", "s1", "s2", "run")
+        return mine.join(part.hint(hint), ["tree", "p"]).where(older & ratio & near).select("q", "tree", F.col("ord").alias("c"))
+
+    if n_asked * KEY_BYTES <= BROADCAST_BYTES:
+        return search(q, None, "broadcast")
+    room, blocks, at, held = BROADCAST_BYTES // KEY_BYTES, [], 0, 0
+    for cell, n in q.groupBy("cell").count().orderBy("cell").toLocalIterator():  # at most TREES * 256 rows
+        if held and held + n > room:
+            blocks.append((at, cell - 1, held))
+            at, held = cell, 0
+        held += n
+    blocks.append((at, TREES * 256, held))
+    if len(blocks) > MANY_BLOCKS:
+        return search(q, None, "merge")
+    found = []
+    for lo, hi, n in blocks:
+        span = (F.col("tree") >= lo // 256) & (F.col("tree") <= hi // 256)
+        span &= (F.col("tree") > lo // 256) | (F.col("key") >= ((lo % 256) - 128) << 56)
+        span &= (F.col("tree") < hi // 256) | (F.col("key") <= (((hi % 256) - 127) << 56) - 1)
+        found.append(search(q.where(F.col("cell").between(lo, hi)), span, "broadcast" if n <= room else "merge"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _cell(tree: str, key: str) -> Column:
+    """Number of a key's range when every tree is cut into 256 by its first level."""
+    return (F.col(tree) * 256 + F.shiftright(key, 56) + 128).cast("int")
+
+
+def _verified(pairs: DataFrame, n_pairs: int, texts: DataFrame) -> DataFrame:
     """``q`` of the pairs ``q, c`` whose texts are nearly the same."""
-    pairs = materialize(pairs.distinct(), "pairs")
-    words = texts.select("ord", "words")
-    some = materialize(pairs.select(F.explode(F.array("q", "c")).alias("ord")).distinct(), "asked")
-    words = sized_join(words, some, ["ord"], "left_semi", row_bytes=16)
+    asked = pairs.select(F.explode(F.array("q", "c")).alias("ord")).distinct()
+    few = n_pairs * 2 * 24 <= BROADCAST_BYTES
+    words = texts.select("ord", "words").join(asked.hint("broadcast" if few else "merge"), "ord", "left_semi")
     both = pairs.join(words.withColumnsRenamed({"ord": "c", "words": "wc"}), "c").join(words.withColumnsRenamed({"ord": "q", "words": "wq"}), "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,55 +347,79 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     done.add(q[i])
             yield pa.RecordBatch.from_arrays([pa.array(sorted(done), pa.int64())], names=["q"])
 
-    return materialize(both.select("q", "wq", "wc").mapInArrow(run, "q bigint").distinct(), "near")
-
+    return both.select("q", "wq", "wc").mapInArrow(run, "q bigint").distinct()
 
-def _lookup(run: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFrame:
-    """``q``: texts of ``queries`` (a run) with a nearly same text of smaller ``ord`` in the forest."""
-    ratio = (F.least("n", "qn") >= F.ceil(F.greatest("n", "qn") * SHARE - 1e-9)) & (F.col("ord") < F.col("q"))
-    asked = queries.select("tree", "key", F.col("ord").alias("q"), F.col("n").alias("qn"))
-    oldest = run.groupBy("tree", "key").agg(F.min(F.struct("ord", "n")).alias("o")).select("tree", "key", "o.ord", "o.n")
-    first = _verified(asked.join(oldest, ["tree", "key"]).where(ratio).select("q", F.col("ord").alias("c")), texts)
-    cut = 8 * (DEPTH - widest_depth())
-    wide = lambda df: df.withColumn("key", F.shiftright("key", cut))
-    still = asked.join(first, "q", "left_anti")
-    rest = wide(still).join(wide(run), ["tree", "key"]).where(ratio).select("q", F.col("ord").alias("c"))
-    return first.unionByName(_verified(rest, texts))
 
+def accept(batch: DataFrame, path: str) -> DataFrame:
+    """``row_id`` of the batch's rows that bring nothing new; the batch then is history.
 
-def in_order(raw: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Raw and incoming rows with ``ord``, the order of arrival (negative: raw)."""
-    columns = ["row_id", "news_id", "link", "originallink", "content"]
-    old = raw.select(*columns, (F.col("row_id") - RAW_SHIFT).alias("ord"))
-    return old.unionByName(incoming.select(*columns, F.col("row_id").alias("ord")))
-
-
-def found_repeats(raw: DataFrame, incoming: DataFrame) -> DataFrame:
-    """``row_id`` of every incoming row that brings nothing new.
-
-    Nothing new: an earlier row (any raw row, or an incoming row of smaller
-    ``row_id``) has the same article link, or nearly the same words in the same
-    order, lines that recur on the site left aside. NULL and schemeless links and
-    texts without words match nothing. Exact copies of a text are one class, looked
-    up once; a class is known by its oldest row. Empty tables give no rows.
+    Nothing new: a row accepted earlier, or a row of the batch with a smaller
+    ``row_id``, has the same article link or nearly the same words in the same order,
+    lines that recur on the site left aside. The batch is signed once and appended
+    as a run, repeats included; from ``MANY_RUNS`` runs on they are merged. NULL and
+    schemeless links and texts without words match nothing. An empty batch gives no rows.
+    """
+    spark, state = batch.sparkSession, _manifest(batch.sparkSession, path)
+    number, run = state["next"], f"run-{uuid.uuid4().hex}"
+    site_lines = spark.read.schema("site string, h1 bigint, h2 bigint").parquet(f"{path}/site_lines")
+    _signed(batch, site_lines, state["site_lines"] <= BROADCAST_BYTES).write.option("compression", "zstd").parquet(f"{path}/{run}/texts")
+    mine = spark.read.schema(TEXTS).parquet(f"{path}/{run}/texts")
+    texts = _read(spark, path, state["runs"], "texts", TEXTS)
+    same_text = _seen_before(mine, texts, "h1", "h2")
+    same = same_text.withColumn("copy", F.lit(True)).unionByName(_seen_before(mine, texts, "l1", "l2").withColumn("copy", F.lit(False)))
+    same = materialize(same.groupBy("ord").agg(F.max("copy").alias("copy")), "same")
+    alone = mine.where("h1 is not null").join(same.where("copy"), "ord", "left_anti").select("ord")
+    n_keys = _write_keys(_keys_of(mine, alone, number), f"{path}/{run}/keys")
+    own = spark.read.schema(KEYS).parquet(f"{path}/{run}/keys")
+
+    runs, words = _read(spark, path, [*state["runs"], run], "keys", KEYS), texts.unionByName(mine)
+    found, tried = same.select("ord"), None
+    for depth in range(DEPTH, widest_depth() - 1, -1):
+        pairs = _in_range(runs, own.join(found, "ord", "left_anti"), n_keys, depth)
+        if depth == DEPTH:  # the oldest text of each full key first: it settles most of a family
+            pairs = pairs.groupBy("q", "tree").agg(F.min("c").alias("c"))
+        pairs = pairs.select("q", "c").distinct()
+        pairs, seen = counted(pairs if tried is None else pairs.join(tried, ["q", "c"], "left_anti"), "pairs")
+        if seen["n"]:
+            near = materialize(_verified(pairs, seen["n"], words), "near")
+            found = found.unionByName(near.select(F.col("q").alias("ord")))
+            tried = pairs if tried is None else tried.unionByName(pairs)
+    archives.write_state(spark, f"{path}/manifest.json", {**state, "runs": [*state["runs"], run], "next": number + 1})
+    if len(state["runs"]) + 1 >= MANY_RUNS:
+        found = materialize(found, "found")
+        merge_runs(spark, path)
+    return found.select(F.col("ord").alias("row_id"))
+
+
+def arrivals(incoming: DataFrame, rows: int = ARRIVAL_ROWS) -> list[DataFrame]:
+    """Batches in order of their smallest ``row_id``, small ones together until they have ``rows`` rows."""
+    if "batch_id" not in incoming.columns:
+        return [incoming]
+    order = incoming.groupBy("batch_id").agg(F.min("row_id").alias("first"), F.count("*").alias("n")).orderBy("first")
+    out, part, held = [], None, 0
+    for r in order.toLocalIterator():
+        mine = F.col("batch_id").eqNullSafe(F.lit(r["batch_id"]))
+        part, held = mine if part is None else part | mine, held + r["n"]
+        if held >= rows:
+            out.append(incoming.where(part))
+            part, held = None, 0
+    return out if part is None else [*out, incoming.where(part)]
+
+
+def found_repeats(raw: DataFrame, incoming: DataFrame, path: str | None = None) -> DataFrame:
+    """``row_id`` of every incoming row that brings nothing new, arrival by arrival.
+
+    The index is built once from the raw rows, at ``path`` or for the session in the
+    shared folder; each arrival (a ``batch_id``, or several small ones; NULL is one of
+    its own) is then looked up and accepted. ``row_id`` must rise with the batch; inside
+    an arrival it is the order. Without a ``batch_id`` all incoming rows are one
+    arrival. Empty tables give no rows.
     """
-    rows = in_order(raw, incoming)
-    links = rows.select("ord", link_key(F.col("link")).alias("key")).where("key is not null")
-    oldest = materialize(links.groupBy("key").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("last > first and last >= 0").select("key", "first"), "links")
-    same_link = sized_join(links.where("ord >= 0"), oldest, ["key"], salt_on="ord", row_bytes=96).where("ord > first").select(F.col("ord").alias("row_id"))
-
-    lines = materialize(article_lines(rows.withColumn("row_id", F.col("ord")), ["row_id", "news_id"]), "lines")
-    repeated = repeated_lines(lines.where("row_id < 0"))
-    hit = sized_join(lines, repeated.select("site", "h1", "h2"), ["site", "h1", "h2"], "left_semi", salt_on="row_id")
-    gone = materialize(hit.groupBy(F.col("row_id").alias("ord")).agg(F.collect_set("line_no").alias("gone")), "gone")
-    bodies = sized_join(rows.select("ord", "content").where("content is not null"), gone, ["ord"], "left", row_bytes=120)
-    texts = materialize(_signed_texts(bodies), "texts")
-
-    classes = texts.select("ord", "h1", "h2").groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-    classes = materialize(classes, "classes")
-    copies = classes.where("last > first and last >= 0").select("h1", "h2", "first")
-    same_text = sized_join(texts.select("ord", "h1", "h2").where("ord >= 0"), copies, ["h1", "h2"], salt_on="ord").where("ord > first").select(F.col("ord").alias("row_id"))
-    alone = sized_join(texts, classes.select(F.col("first").alias("ord")), ["ord"], "left_semi", row_bytes=16)
-    run = forest_run(alone)
-    near = _lookup(run, run.where("ord >= 0"), texts).select(F.col("q").alias("row_id"))
-    return same_link.unionByName(same_text).unionByName(near).distinct()
+    spark = raw.sparkSession
+    if path is None:
+        path = f"{shared_dir(spark)}/gleaner-forest-{uuid.uuid4().hex}"
+        fs, p = hadoop_path(spark, path)
+        fs.deleteOnExit(p)
+    build(raw, path)
+    found = [accept(batch, path) for batch in arrivals(incoming)]
+    return reduce(DataFrame.unionByName, found) if found else incoming.limit(0).select("row_id")

@@ -197,7 +197,10 @@ def test_depth_holds_the_recall_target():
 COLS = "row_id bigint, news_id string, link string, originallink string, content string, ord string, key string"
 
 
-def test_repeats_equal_brute_force(spark):
+@pytest.mark.parametrize("room", [None, 0])
+def test_repeats_equal_brute_force(spark, monkeypatch, room):
+    if room == 0:  # nothing fits a broadcast
+        monkeypatch.setattr(history, "BROADCAST_BYTES", room)
     rnd = random.Random(8)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 7)))
     link = lambda: rnd.choice([None, "", f"https://n.P.example:8{rnd.randrange(2)}/a/{rnd.randrange(400)}{rnd.choice(['', '/', '?x=1', '#c'])}"])
@@ -221,7 +224,7 @@ def test_repeats_equal_brute_force(spark):
 
     seen, want = [], []
     for r in raw + inc:
-        w = history.text_words(r[4], None)
+        w = history.text_words(r[4])
         k = key(r[2])
         if r[0] >= 5000 and any((k and k == k2) or (w and history.nearly_same(w, w2)) for k2, w2 in seen):
             want.append((r[0],))
@@ -230,3 +233,59 @@ def test_repeats_equal_brute_force(spark):
     assert want and rows_of(history.found_repeats(frame(raw), frame(inc))) == want
     assert history.found_repeats(frame(raw), frame(inc).limit(0)).count() == 0
     assert history.found_repeats(frame(raw).limit(0), frame(inc[:1])).count() == 0
+
+
+def test_blocks_of_ranges_give_the_pairs_of_one_block(spark, monkeypatch):
+    rnd = random.Random(14)
+    key = lambda: (rnd.choice([1, 1, 1, *range(256)]) << 56 | rnd.randrange(4)) - (1 << 63)
+    runs = spark.createDataFrame([(rnd.randrange(24), key(), i, 10, 0, 0, 0) for i in range(3000)], history.KEYS)
+    asked = spark.createDataFrame([(rnd.randrange(24), key(), 5000 + i, 10, 0, 0, 1) for i in range(400)], history.KEYS)
+    want = rows_of(history._in_range(runs, asked, 400, 1))
+    assert want
+    for room, many in ((8_000, 64), (400, 64), (8_000, 2)):  # blocks, also of one range that doesn't fit; more blocks than are broadcast
+        monkeypatch.setattr(history, "BROADCAST_BYTES", room)
+        monkeypatch.setattr(history, "MANY_BLOCKS", many)
+        assert rows_of(history._in_range(runs, asked, 400, 1)) == want
+
+
+def test_history_is_signed_once_and_runs_merge(spark, tmp_path, monkeypatch):
+    """Three batches and a merge: every text is signed once, and batches find rows of raw, of each other and of merged runs."""
+    signed = []
+    real = history._signed_rows
+    monkeypatch.setattr(history, "_signed_rows", lambda rows, known: signed.append(rows.count()) or real(rows, known))
+    monkeypatch.setattr(history, "MANY_RUNS", 3)
+    rnd = random.Random(12)
+    text = lambda: " ".join(str(rnd.randrange(10**6)) for _ in range(60))
+    raw = [(i, f"n{i}", f"http://p.example/{i}", None, text()) for i in range(40)]
+    first = [(100 + i, "m", f"http://p.example/{100 + i}", None, raw[i][4] + " more" if i < 5 else text()) for i in range(10)]
+    second = [(200 + i, "m", None, None, first[i][4] if i > 7 else text()) for i in range(10)]
+    third = [(300, "m", None, None, raw[7][4].replace(" ", "\n")), (301, "m", "https://www.p.example/105?x#y", None, None), (302, "m", None, None, second[3][4] + " end"), (303, "m", None, None, text())]
+    frame = lambda rows: spark.createDataFrame([(*r, "clash", "clash") for r in rows], COLS)
+    path = f"file://{tmp_path}/index"
+    history.build(frame(raw), path)
+    assert rows_of(history.accept(frame(first), path)) == [(100 + i,) for i in range(5)]
+    assert rows_of(history.accept(frame(second), path)) == [(208,), (209,)]
+    assert len(history._manifest(spark, path)["runs"]) == 1
+    assert rows_of(history.accept(frame(third), path)) == [(300,), (301,), (302,)]
+    assert history.accept(frame(third).limit(0), path).count() == 0
+    assert signed == [40, 10, 10, 4, 0]
+    keys = history._read(spark, path, history._manifest(spark, path)["runs"], "keys", history.KEYS)
+    assert keys.select("ord").distinct().count() == 40 + 10 + 8 + 2  # copies and texts without words have no keys
+    with pytest.raises(FileNotFoundError):
+        history.accept(frame(third), f"file://{tmp_path}/none")
+
+
+def test_lines_of_the_other_site_are_left_aside(spark):
+    """A copy without site still holds the lines of the site it is from."""
+    own = "\n".join(f"This line stands below all articles of the site {k}" for k in range(3))
+    body = lambda i: " ".join(f"word{(i * 7919 + k * 104729) % 10007}" for k in range(60))
+    raw = [(i, f"n{i}", None, "http://a.example/1" if i else None, body(i) + "\n" + own) for i in range(14)]
+    new = [(50, "m", None, "http://a.example/9", body(0) + "\n" + own), (51, "m", None, "http://b.example/9", body(0)), (52, "m", None, None, body(20) + "\n" + own)]
+    frame = lambda rows: spark.createDataFrame([(*r, "", "") for r in rows], COLS)
+    assert rows_of(history.found_repeats(frame(raw), frame(new))) == [(50,), (51,)]
+
+
+def test_arrivals_keep_the_order_of_batches(spark):
+    rows = [(i, b) for b, n in ((1, 3), (2, 4), (3, 9), (None, 2)) for i in range((b or 9) * 10, (b or 9) * 10 + n)]
+    df = spark.createDataFrame(rows, "row_id bigint, batch_id int")
+    assert [sorted({r.batch_id for r in part.collect()}, key=str) for part in history.arrivals(df, 7)] == [[1, 2], [3], [None]]
