@@ -41,7 +41,7 @@ SKETCH, DIFFER = 128, 27
 #: Runs from which an append merges them.
 MANY_RUNS = 16
 #: Rows that consecutive batches are taken together for in one arrival; a larger batch is an arrival of its own.
-ARRIVAL_ROWS = 10_000
+ARRIVAL_ROWS = 50_000
 #: Blocks of a batch's keys that are broadcast one by one.
 MANY_BLOCKS = 64
 #: Bytes of a row of keys in memory.
@@ -111,52 +111,61 @@ def _signed_rows(rows: DataFrame, known: set[tuple[str, int, int]] | None) -> Da
     shared = rows.sparkSession.sparkContext.broadcast(known or frozenset())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        site_lines, rng = shared.value, np.random.default_rng(104729)
-        mul = (rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+        site_lines, mul = shared.value, np.random.default_rng(104729).integers(1, 1 << 31, TREES * DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         shift = np.uint64(8) * np.arange(DEPTH - 1, -1, -1, dtype=np.uint64)
         memory: dict[str, int] = {}
         for batch in batches:
-            h1, h2, ns, words, keys, sketch = [], [], [], [], [], []
+            h1, h2, ns, words, lows = [], [], [], [], []
             for site, content, gone in zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)), strict=True):
                 w = text_words(content, gone or (), site_lines, site)
+                ns.append(len(w) or None)
                 if not w:
-                    for x in (h1, h2, ns, words, keys):
-                        x.append(None)
-                    sketch.append((None, None))
+                    h1.append(None)
+                    h2.append(None)
                     continue
                 if len(memory) > 500_000:
                     memory.clear()
                 seen: dict[int, int] = {}
-                code, element = [], []
+                code, again = [], []
                 for t in w:
                     if (c := memory.get(t)) is None:
                         c = memory[t] = xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"))
                     k = seen.get(c, 0)
                     seen[c] = k + 1
                     code.append(c)
-                    element.append((c + k * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+                    again.append(k)
                 arr = np.array(code, np.uint64)
-                e = np.array(element, np.uint64)
-                e ^= e >> np.uint64(31)
-                low = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, np.uint64)
-                for at in range(0, len(e), 4096):
-                    low = np.minimum(low, (e[at : at + 4096, None] * mul[None, :]).min(0))
-                low ^= low >> np.uint64(29)
-                low *= np.uint64(0xBF58476D1CE4E5B9)
-                value = (low >> np.uint64(56)).reshape(TREES, DEPTH)
-                keys.append((value << shift).sum(1, dtype=np.uint64).astype(np.int64))
-                bits = np.packbits(((low[:SKETCH] >> np.uint64(40)) & np.uint64(1)).astype(np.uint8)).view(">i8")
-                sketch.append((int(bits[0]), int(bits[1])))
+                e = arr + np.array(again, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                e = (e ^ (e >> np.uint64(31))).astype(np.uint32)
+                low = np.full(TREES * DEPTH, np.iinfo(np.uint32).max, np.uint32)
+                for at in range(0, len(e), 512):
+                    low = np.minimum(low, (e[at : at + 512, None] * mul[None, :]).min(0))
+                lows.append(low)
                 whole = xxhash.xxh3_128_intdigest(arr.tobytes())
                 h1.append((whole >> 64) - (1 << 63))
                 h2.append((whole & (1 << 64) - 1) - (1 << 63))
-                ns.append(len(w))
                 words.append((arr & np.uint64(0x7FFFFFFF)).astype(np.int32))
-            s1, s2 = zip(*sketch) if sketch else ((), ())
+            there = np.array([n is not None for n in ns], bool)
+            low = np.array(lows, np.uint32).reshape(-1, TREES * DEPTH)
+            for by, times in ((15, 0x85EBCA6B), (13, 0xC2B2AE35)):
+                low ^= low >> np.uint32(by)
+                low *= np.uint32(times)
+            value = (low >> np.uint32(24)).astype(np.uint64).reshape(-1, TREES, DEPTH)
+            keys = (value << shift).sum(2, dtype=np.uint64).astype(np.int64)
+            bits = np.packbits(((low[:, :SKETCH] >> np.uint32(12)) & np.uint32(1)).astype(np.uint8), axis=1).reshape(-1).view(">i8").reshape(-1, 2)
+            sketch = np.zeros((len(there), 2), np.int64)
+            sketch[there] = bits
+
+            def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+                ends = np.concatenate([[0], np.cumsum(np.where(there, sizes, 0))]).astype(np.int32)
+                return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=pa.array(~there))
+
+            n = np.array([x or 0 for x in ns], np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3], pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(ns, pa.int32()),
-                    pa.array(words, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64())), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+                    lists(np.concatenate(words) if words else np.empty(0, np.int32), n), lists(keys.ravel(), np.full(len(n), TREES)),
+                    pa.array(sketch[:, 0], mask=~there), pa.array(sketch[:, 1], mask=~there),
                 ],
                 names=["ord", "l1", "l2", "h1", "h2", "n", "words", "keys", "s1", "s2"],
             )
@@ -240,7 +249,7 @@ def build(articles: DataFrame, path: str) -> None:
     index that knows nothing.
     """
     spark = articles.sparkSession
-    lines = materialize(article_lines(articles, ["row_id", "news_id"]), "lines")
+    lines = materialize(article_lines(articles, ["row_id", "news_id"], trees=False), "lines")
     repeated = repeated_lines(lines)
     own = repeated.select("site", "h1", "h2")
     every = own.select(F.lit("").alias("site"), "h1", "h2").distinct()

@@ -34,6 +34,7 @@ LEAF_TEMPLATES, LEAF_MERGE = 64, 2_000
 TREE_TEMPLATES = 200_000
 WILD = "<*>"
 LINE_END = re.compile("\r\n|\n|\r")
+_DIGIT = re.compile(r"\d")
 _MEMORY = 200_000
 
 
@@ -59,17 +60,22 @@ class TokenTree:
     """Templates of one partition's lines, by site, token count and first tokens."""
 
     def __init__(self) -> None:
-        self.leaves: dict[tuple[str, str], list[list]] = {}
+        self.leaves: dict[tuple, list[list]] = {}
         self.size = 0
 
-    def add(self, site: str, line: str) -> list:
+    def add(self, site: str, line: str, own: int) -> list:
         """The template that the line falls into: ``[path, founder, tokens, rows, last row]``.
 
-        The founder's hash names the template while its wildcards grow.
+        ``own``, the hash of the founding line, names the template while its wildcards grow.
         """
         tokens = line.split(" ")
-        head = " ".join(WILD if any(map(str.isdigit, t)) else t for t in tokens[:DEPTH])
-        leaf = self.leaves.setdefault((site, f"{len(tokens)} {head}"), [])
+        if _DIGIT.search(line):
+            tokens = [WILD if _DIGIT.search(t) else t for t in tokens]
+        head = tokens[:DEPTH]
+        key = (site, len(tokens), *head)
+        leaf = self.leaves.get(key)
+        if leaf is None:
+            leaf = self.leaves[key] = []
         best, score = None, ALIKE * len(tokens)
         for template in leaf:
             same = sum(map(str.__eq__, template[2], tokens))
@@ -79,8 +85,8 @@ class TokenTree:
             best = leaf[0]
             best[2] = [WILD] * len(tokens)
         if best is None:
-            path = xxhash.xxh3_64_intdigest(f"{len(tokens)} {head}".encode("utf-8", "surrogatepass"))
-            best = [_signed(path), line_hash(line)[0], tokens, 0, -1]
+            path = leaf[0][0] if leaf else _signed(xxhash.xxh3_64_intdigest(f"{len(tokens)} {' '.join(head)}".encode("utf-8", "surrogatepass")))
+            best = [path, own, tokens, 0, -1]
             leaf.append(best)
             self.size += 1
         elif best[2] != tokens:
@@ -89,22 +95,22 @@ class TokenTree:
 
     def rows(self) -> list[tuple]:
         """``site, path, founder, pattern, rows`` of every template."""
-        return [(site, t[0], t[1], " ".join(t[2]), t[3]) for (site, _), leaf in self.leaves.items() for t in leaf]
+        return [(site, t[0], t[1], " ".join(t[2]), t[3]) for (site, *_), leaf in self.leaves.items() for t in leaf]
 
 
-def article_lines(articles: DataFrame, id_columns: list[str]) -> DataFrame:
+def article_lines(articles: DataFrame, id_columns: list[str], trees: bool = True) -> DataFrame:
     """Every line that isn't blank, as ``*id_columns, site, line_no, path, tpl, h1, h2``, and every partition's templates.
 
     Template rows have no ids and no ``line_no``, but ``pattern`` and ``n_rows``, the
     articles that fall into it there. Rows without site or content have no lines.
-    Line numbers count blank lines, too.
+    Line numbers count blank lines, too. Without ``trees`` there are no templates.
     """
     rows = articles.select(*id_columns, host_of(F.col("originallink")).alias("site"), "content").where("site is not null and content is not null")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     schema = f"{kinds}, line_no int, path bigint, tpl bigint, h1 bigint, h2 bigint, pattern string, n_rows bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, memory, row = TokenTree(), {}, 0
+        tree, memory, row, none = TokenTree(), {}, 0, [None, None, [], 0, -1]
         kinds: list[pa.DataType] = []
 
         def templates() -> pa.RecordBatch:
@@ -131,7 +137,8 @@ def article_lines(articles: DataFrame, id_columns: list[str]) -> DataFrame:
                 for k, line in enumerate(normal_lines(content), 1):
                     if line:
                         if (got := memory.get((site, line))) is None:
-                            got = memory[site, line] = (tree.add(site, line), *line_hash(line))
+                            h = line_hash(line)
+                            got = memory[site, line] = (tree.add(site, line, h[0]) if trees else none, *h)
                         t = got[0]
                         if t[4] != row:
                             t[3] += 1
@@ -209,17 +216,24 @@ def repeated_lines(lines: DataFrame, least: int = MIN_ARTICLES) -> DataFrame:
 
     Candidates are the lines of covering templates; the count of different
     ``news_id`` is exact. A line in a third of all rows is first reduced to one row
-    per ``news_id`` in map-side aggregates, so no task gets the whole of it.
+    per ``news_id`` in map-side aggregates, so no task gets the whole of it. Lines
+    parsed without trees are all candidates.
     """
+    if not lines.where("line_no is null").limit(1).count():
+        return materialize(_counted_lines(lines, least), "repeated")
     templates = materialize(covering_templates(lines, least).select("site", "path", "tpl").distinct(), "templates")
     candidates = sized_join(lines.where("line_no is not null"), templates, ["site", "path", "tpl"], "left_semi")
-    once = candidates.where("news_id is not null").select("site", "h1", "h2", "news_id").distinct()
-    counts = once.groupBy("site", "h1", "h2").agg(F.count("*").alias("n_articles"))
-    out = materialize(counts.where(F.col("n_articles") >= least), "repeated")
+    out = materialize(_counted_lines(candidates, least), "repeated")
     discard(templates)
     return out
 
 
+def _counted_lines(lines: DataFrame, least: int) -> DataFrame:
+    once = lines.where("news_id is not null").select("site", "h1", "h2", "news_id").distinct()
+    counts = once.groupBy("site", "h1", "h2").agg(F.count("*").alias("n_articles"))
+    return counts.where(F.col("n_articles") >= least)
+
+
 def found_lines(articles: DataFrame, least: int = MIN_ARTICLES) -> DataFrame:
     """``row_id, line_no`` of every repeated line of a site.
 
