@@ -1,12 +1,15 @@
 """Grouping vectors into similarity clusters: parallel pivot correlation clustering.
 
 Vectors meet in buckets of random hyperplane signatures. In every bucket the
-vectors are taken in the order of a hash of their id: the smallest is a pivot and
-absorbs its similar neighbours, the smallest of the rest is the next, and so on.
-Absorbed vectors leave; the pivots go on to the next round with new hyperplanes.
-At last every member is reassigned to the closest pivot, members like none of them
-go into further rounds, and medoids are computed from cluster sums. Buckets are read as streams against their pivots, so neither
-all pairs of a bucket nor the bucket itself is ever held.
+vectors are taken in the order of a hash of their id: the smallest is a local
+minimum, those like it are its neighbours, the smallest of the rest is the next, and so
+on. A round's pivots are the vectors that are a minimum in all of their buckets; only
+neighbours of such pivots are absorbed, while those of a vector that is itself a
+neighbour elsewhere stay. Absorbed vectors leave; all others go on to the next round
+with new hyperplanes. At last every member is reassigned to the closest pivot, members
+like none of them go into further rounds, and medoids are computed from cluster sums.
+Buckets are read as streams against their minima, so neither all pairs of a bucket nor
+the bucket itself is ever held.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.session import materialize, sized_join
+from gleaner.session import counted, discard, materialize, sized_join
 
 SIMILAR = 0.88
 DIMENSIONS = 64
@@ -34,7 +37,7 @@ _STEP = 512
 
 def plan(n: int, least: float = SIMILAR) -> tuple[int, int]:
     """Bits of a signature for ``n`` vectors, and the rounds that hold the recall at the least cosine."""
-    bits = min(24, max(4, math.ceil(math.log2(max(n, 2) / BUCKET_MEAN))))
+    bits = max(4, math.ceil(math.log2(max(n, 2) / BUCKET_MEAN)))
     meet = (1 - math.acos(least) / math.pi) ** bits
     return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - meet) / TABLES)
 
@@ -164,15 +167,25 @@ def _placed(active: DataFrame, loose: DataFrame, first: int, least: float, dim:
 
     Returns ``item_id, pivot, sim`` of the absorbed items that are like a pivot that
     stays, ``item_id`` of those that are like none, and the number of the next round.
+    A vector that some bucket absorbs is no pivot of its round, and what another bucket
+    would have it absorb waits for the next. Rounds go on beyond the planned number
+    while the last one left a vector waiting, as its recall would not be that of all rounds.
     """
     n = active.count()
     bits, rounds = plan(n, least)
-    vectors, edges = active, None
-    for rnd in range(first, first + rounds):
+    vectors, edges, rnd, waiting = active, None, first, 0
+    while rnd < first + rounds or waiting:
         found = _round(active, rnd, bits, n, least, dim)
         found = found if loose is vectors else found.join(loose.select("item_id"), "item_id", "left_semi")
-        edges = found if edges is None else edges.unionByName(found)
-        active = materialize(active.join(found.select("item_id").distinct(), "item_id", "left_anti"), "active")
+        below = found.select(F.col("item_id").alias("pivot")).distinct()
+        true, seen = counted(found.join(below, "pivot", "left_anti").select("item_id", "pivot", "sim"), "absorbed")
+        gone, all_ = true.select("item_id").distinct(), found.select("item_id").distinct()
+        waiting = all_.join(gone, "item_id", "left_anti").count() if rnd + 1 >= first + rounds and seen["n"] else 0
+        edges = true if edges is None else edges.unionByName(true)
+        before, active = active, materialize(active.join(gone, "item_id", "left_anti"), "active") if seen["n"] else active
+        if before is not active and before is not vectors:
+            discard(before)
+        rnd += 1
     # every edge leads to an id of smaller hash, so following them ends at a root
     up = materialize(edges.groupBy("item_id").agg(F.max_by("pivot", F.struct("sim", "pivot")).alias("up")), "up")
     while True:
@@ -188,7 +201,7 @@ def _placed(active: DataFrame, loose: DataFrame, first: int, least: float, dim:
     dot = F.aggregate(F.zip_with("vec", "head", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, b: a + b)
     closest = near.select("item_id", "pivot", dot.alias("sim")).where(F.col("sim") >= least - 1e-6).groupBy("item_id").agg(F.max_by("pivot", F.struct("sim", "pivot")).alias("pivot"), F.max("sim").alias("sim"))
     closest = materialize(closest, "closest")
-    return closest, materialize(up.select("item_id").join(closest, "item_id", "left_anti"), "lost"), first + rounds
+    return closest, materialize(up.select("item_id").join(closest, "item_id", "left_anti"), "lost"), rnd
 
 
 def pivot_clusters(items: DataFrame, least: float = SIMILAR, dim: int = DIMENSIONS) -> DataFrame:

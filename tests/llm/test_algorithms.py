@@ -92,6 +92,20 @@ def test_chains_leave_no_similar_items_alone(spark):
     assert not any(near[i, j] for i in pivots for j in pivots if i < j)
 
 
+def test_only_true_pivots_absorb(spark):
+    """Vectors at 0, 25, 50 and 52 degrees in hash order: the second goes to the first, so the last must go to the third."""
+    ids = spark.range(60 * 4 * 30).selectExpr("id", "xxhash64(id) AS h").orderBy("h").limit(240).collect()
+    rnd, rows = np.random.default_rng(5), []
+    for k in range(60):
+        a, b = np.linalg.qr(rnd.standard_normal((64, 2)))[0].T
+        rows += [(r.id, [float(v) for v in np.cos(t) * a + np.sin(t) * b]) for r, t in zip(ids[4 * k : 4 * k + 4], np.radians([0, 25, 50, 52]), strict=True)]
+    df = spark.createDataFrame(rows, "item_id bigint, embedding array<float>")
+    got = {r.item_id: r.pivot for r in clusters.pivot_clusters(df).collect()}
+    for k in range(60):
+        w, x, y, z = (r[0] for r in rows[4 * k : 4 * k + 4])
+        assert got[w] == w == got[x] and got[y] == y == got[z], k
+
+
 # ---- 6
 
 
