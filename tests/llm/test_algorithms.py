@@ -128,11 +128,9 @@ def union_find(pairs):
 PAIRS = "src string, dst string, via string, score double, v string"
 
 
-@pytest.mark.parametrize("big", [False, True])
-def test_groups_equal_union_find(spark, monkeypatch, big):
-    if big:
-        monkeypatch.setattr(components, "BIG_ROWS", 10)
-        monkeypatch.setattr(components, "HOT_ROWS", 5)
+@pytest.mark.parametrize("every", [1, 3])
+def test_groups_equal_union_find(spark, monkeypatch, every):
+    monkeypatch.setattr(components, "LEAVE_EVERY", every)
     rnd = random.Random(4)
     pairs = [(f"A{rnd.randrange(80):03}", f" a{rnd.randrange(80):03} ") for _ in range(60)]
     pairs += [(f"c{k:03}", f"c{k + 1:03}") for k in range(40)] + [("s000", f"s{k:03}") for k in range(1, 60)]
