@@ -192,6 +192,32 @@ def test_leaks_equal_brute_force(spark):
     assert leakage.found_leaks(d.limit(0), it).count() == 0 == leakage.found_leaks(d, it.limit(0)).count()
 
 
+def test_wand_skips_blocks_and_loses_nothing():
+    rnd = random.Random(15)
+    text = lambda n: "".join(rnd.choice("ab") for _ in range(n))
+    shared = text(30)
+    index = leakage.ItemIndex([(i, text(rnd.randrange(50, 90)) + (shared if i % 2 else ""), None) for i in range(400)])
+    grams = sorted(index.postings)
+    for _ in range(300):
+        own = index.texts[rnd.randrange(400)]
+        query = {own[k : k + leakage.GRAM] for k in range(0, 40, leakage.STRIDE)} | set(rnd.sample(grams, 5)) | {g for g in (shared[k : k + leakage.GRAM] for k in range(0, 18, 6))}
+        score = collections.defaultdict(float)
+        for g in query:
+            for d, w in zip(index.postings[g].docs, index.postings[g].weights, strict=True):
+                score[d] += w
+        want = sorted(d for d, x in score.items() if x >= index.least[d])
+        assert sorted(index.search(query)) == want
+    assert index.skipped > index.scored > 0
+
+
+def test_answers_behind_the_passage(spark):
+    text = "Which clause of the library fund motion lets the council defend a ruling that was issued 64 days earlier?"
+    items = spark.createDataFrame([(1, "t", text, "B"), (2, "t", text + " x", "the harbor"), (3, "t", text, None)], "item_id bigint, task string, text string, answer string")
+    docs = [(1, f"Intro. {text} Answer: (B)"), (2, f"{text} A, not the  Harbor."), (3, text), (4, f"B. {text} " + "word " * 50 + "B")]
+    got = {(r.doc_id, r.item_id): r.answered for r in leakage.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()}
+    assert got == {(d, i): (d, i) in {(1, 1), (2, 2)} for d in (1, 2, 3, 4) for i in (1, 2, 3)}
+
+
 # ---- 10
 
 
