@@ -129,6 +129,52 @@ def test_residue(spark):
     assert residue.found_residue(df.limit(0)).count() == 0
 
 
+# Held out: none of these stands in the module.
+UNSEEN_RESIDUE = [
+    "Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.",
+    "Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim.",
+    "Quis autem vel eum iure reprehenderit qui in ea voluptate velit esse quam nihil molestiae consequatur.",
+    "Bitte aktivieren Sie JavaScript, um diese Seite anzuzeigen.", "お探しのページが見つかりません。", "ページが見つかりませんでした", "请启用JavaScript后重试。",
+    "SQLSTATE[HY000] [2002] No such file or directory", "HTTP Status 405 – Method Not Allowed", "ERR_TOO_MANY_REDIRECTS", "안녕하세요 {name} 님, {article.title} 안내입니다",
+    "Oops! That page can't be found.", "The requested resource could not be found on this server.", "You don't have permission to view this directory.",
+    "Please enable cookies to continue.", "You need to enable JavaScript to run this app.", "We're sorry but this site doesn't work properly without JavaScript enabled.",
+    "Error 521: Web server is down", "nginx 504 Gateway Time-out", "Fatal error: Uncaught Error: Call to a member function on null in /srv/www/page.php:18",
+    "java.lang.ArrayIndexOutOfBoundsException: 3 at org.example.View.render(View.java:77)", "TypeError: Cannot read property 'title' of undefined",
+    "요청하신 페이지를 찾을 수 없습니다.", "존재하지 않는 페이지입니다.", "일시적인 서버 오류가 발생했습니다. 잠시 후 다시 시도해 주시기 바랍니다.", "접속 권한이 없는 페이지입니다.",
+    "자바스크립트를 활성화해 주세요.", "브라우저에서 자바스크립트가 꺼져 있습니다.", "서비스 점검으로 이용할 수 없습니다.", "로그인이 필요한 페이지입니다.", "내용을 입력하세요", "여기에 제목을 입력하십시오",
+    "더미 텍스트입니다. 더미 텍스트입니다.", "글 글 글 글 글 글", "%%TITLE%%", "<%= article.body %>", "작성 undefined | 수정 NaN-NaN-NaN", "{{ post.summary|truncate(120) }}",
+]
+UNSEEN_PROSE = [
+    "회사 측은 서버 오류로 서비스가 두 시간 동안 중단됐다고 밝혔다.", "시는 누리집 접속 장애가 이어지자 예매를 이틀 미뤘다.", "개발자들은 자바스크립트 교육 과정을 늘려 달라고 요구했다.",
+    "데이터베이스 이전 작업이 늦어져 민원 처리가 사흘째 밀렸다고 구청은 설명했다.", "경찰은 시스템에 비정상적으로 접근한 혐의로 40대를 조사하고 있다.", "페이지를 넘길 때마다 아이들은 그림을 오래 들여다보았다.",
+    "The airline said that a server error had kept passengers from checking in for two hours.", "Officials removed the page after readers complained that it could not be found.",
+    "The museum asked visitors to enable the guide on their phones before they enter the hall.", "She found no content in the box, only a note that had been written years before.",
+    "He told the court that access to the building was denied to him twice that week.", "The bridge will be closed for maintenance on Sunday, the council said on Friday.",
+    "A spokesman said the service would be unavailable on two nights in May while cables are laid.", "점검 결과 다리 난간 12곳에서 금이 발견돼 시가 통행을 막았다.", "그는 제목 없는 그림 석 점을 미술관에 기증했다.",
+    "The word null comes from Latin and meant none to the lawyers of that time.", "시민들은 \"잠시 후 다시 시도해 주세요\"라는 말만 열 번 들었다고 했다.", "서비스 산업 예산은 접근성 개선에 12억원이 들어간다.",
+]
+
+
+def test_unseen_residue_and_prose_about_messages():
+    counts = np.zeros((2, 1 << residue.BITS), np.int64)
+    texts = [t for t in pq.read_table(f"{SF}/raw_articles.parquet")["content"].to_pylist() if t]
+    table = residue.ratio_table(counts + residue.gram_counts([u for t in texts for u in residue._UNITS.split(residue._normal(t)) if u], residue._seed_counts().sum((0, 1)) > 0))
+    hit, false = residue.flags(UNSEEN_RESIDUE, table), residue.flags(UNSEEN_PROSE, table)
+    assert hit.mean() >= 0.9, [t for t, x in zip(UNSEEN_RESIDUE, hit, strict=True) if not x]
+    assert not false.any(), [t for t, x in zip(UNSEEN_PROSE, false, strict=True) if x]
+    known = {u for phrases in residue.SEEDS.values() for x in phrases for u in residue._UNITS.split(residue._normal(x))}
+    assert not known & {residue._normal(t) for t in UNSEEN_RESIDUE}
+
+
+def test_residue_counts_may_be_kept(spark):
+    df = spark.read.parquet(f"{SF}/raw_articles.parquet").select("row_id", "title", "content")
+    prose = residue.fit_prose(df)
+    units = [u for c in ("title", "content") for t in df.toPandas()[c] if t for u in residue._UNITS.split(residue._normal(t)) if u and not residue.repeated_words(u)]
+    assert (prose == residue.gram_counts(units, residue._seed_counts().sum((0, 1)) > 0)).all()
+    kept = rows_of(residue.with_residue(df, prose=prose).where("residue.title or residue.content").select("row_id"))
+    assert kept == rows_of(residue.found_residue(df)) != []
+
+
 def test_residue_long_text(spark):
     assert not residue.flags(["가 나 다. " * 100_000], residue.ratio_table(np.zeros((2, 1 << residue.BITS), np.int64)))[0]
 
