@@ -4,7 +4,8 @@
 whose field is usable. ``judged_values`` is the latent two-sided quality model:
 expectation-maximisation over which channels claim which values gives every
 channel a sensitivity and a specificity and every value a probability of being
-true, so that a field may keep several values.
+true, so that a field may keep several values; ``survivors`` keeps those of its
+multi-valued fields.
 """
 
 from __future__ import annotations
@@ -15,10 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.instants import with_article_instants
+from gleaner.functions.sites import host_of
 from gleaner.llm.residue import with_residue
-from gleaner.session import blank_to_null, materialize, sized_join
+from gleaner.session import blank_to_null, discard, materialize, sized_join
 
 FIELDS = ("title", "description", "content", "pubdate")
+#: Fields that keep every value judged true.
+MULTIPLE = ("title", "description")
+#: Change of sensitivity or specificity below which expectation-maximisation has converged.
+MOVED = 1e-3
 
 
 def usable_fields(articles: DataFrame, press_sites: DataFrame) -> DataFrame:
@@ -59,7 +65,11 @@ def found_sources(articles: DataFrame, press_sites: DataFrame) -> DataFrame:
 
 
 def survivors(articles: DataFrame, press_sites: DataFrame) -> DataFrame:
-    """One built record per ``news_id`` of two or more rows: each field's best value and where it is from."""
+    """One built record per ``news_id`` of two or more rows: each field's best value and where it is from.
+
+    Fields of ``MULTIPLE`` also keep, as ``<field>_values``, every value that the quality model
+    judges true, in order; a list is bounded by the claims of its article that differ.
+    """
     sources = found_sources(articles, press_sites)
     values = articles.select("row_id", *[F.col(f).cast("string") for f in FIELDS])
     joined = sources.join(values, "row_id")
@@ -67,60 +77,65 @@ def survivors(articles: DataFrame, press_sites: DataFrame) -> DataFrame:
     for f in FIELDS:
         mine = F.col("field_name") == f
         agg += [F.max(F.when(mine, F.col(f))).alias(f), F.max(F.when(mine, F.col("row_id"))).alias(f"{f}_row_id")]
-    return joined.groupBy("news_id").agg(*agg)
-
-
-def judged_values(
-    articles: DataFrame, field: str = "title", source: str = "search_keyword", rounds: int = 15, prior: float = 0.5
-) -> tuple[DataFrame, list[dict]]:
-    """``news_id, value, p_true`` of every claimed value, and the quality of every source.
-
-    A source that has versions of an article claims the values it shows and
-    denies those it doesn't. Maximisation counts, with Beta(8, 2) smoothing, how
-    often each source claims values held true (sensitivity) and denies those held
-    false (specificity); expectation turns that into log odds per value. Sources
-    are few (checked: at most 10,000), so their quality goes to the driver; claims
-    never do. NULL and blank values are no claims.
+    judged = judged_fields(articles, MULTIPLE).where("is_true")
+    lists = judged.groupBy("news_id").agg(*[F.sort_array(F.collect_set(F.when(F.col("field_name") == f, F.col("value")))).alias(f"{f}_values") for f in MULTIPLE])
+    empty = F.array().cast("array<string>")
+    out = joined.groupBy("news_id").agg(*agg).join(lists, "news_id", "left")
+    return out.select(*[c for c in out.columns if not c.endswith("_values")], *[F.coalesce(f"{f}_values", empty).alias(f"{f}_values") for f in MULTIPLE])
+
+
+def _odds(quality: DataFrame) -> DataFrame:
+    """``src, no, more``: log odds that a denial gives a value, and what a claim gives on top of it."""
+    no = F.log((1 - F.col("sensitivity")) / F.col("specificity"))
+    return quality.select("src", no.alias("no"), (F.log(F.col("sensitivity") / (1 - F.col("specificity"))) - no).alias("more"))
+
+
+def judged_values(articles: DataFrame, fields: tuple[str, ...] = FIELDS, prior: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """``news_id, field_name, value, n_claims, p_true`` of every claimed value, and ``src, sensitivity, specificity``.
+
+    A source is a field of a collection channel: press site and search keyword. If it
+    has a value of an article's field, it claims what it shows and denies what others
+    show. Expectation gives each value the log odds of all who claim or deny it;
+    maximisation counts, with Beta(8, 2) smoothing, how often a source claims what is
+    held true (sensitivity) and denies what is held false (specificity). Denials are
+    never written out: they are an article's sum over its sources, less the claims. Rounds
+    go on until no quality moves by ``MOVED``. Neither sources nor claims go to the
+    driver. NULL and blank values are no claims; rows without ``news_id`` have none.
     """
-    rows = articles.select("news_id", F.col(source).alias("src"), blank_to_null(F.col(field)).alias("value"))
-    rows = rows.where("news_id is not null and src is not null and value is not null")
-    claims = rows.distinct()
-    pairs = materialize(claims.withColumn("vid", F.xxhash64("news_id", "value")), "claims")
-    n_sources = pairs.select("src").distinct().limit(10_001).count()
-    if n_sources > 10_000:
-        raise ValueError("more than 10,000 sources: choose a coarser source column")
-    active = pairs.select("news_id", "src").distinct()
-    facts = pairs.groupBy("news_id", "vid").agg(F.first("value").alias("value"), F.count("*").alias("n_claims"))
-    seen = facts.select("news_id", "vid").join(active, "news_id").join(pairs.select("vid", "src", F.lit(True).alias("claimed")), ["vid", "src"], "left")
-    seen = materialize(seen.select("news_id", "vid", "src", F.coalesce("claimed", F.lit(False)).alias("claimed")), "seen")
-    votes = seen.groupBy("news_id", "vid").agg(F.avg(F.col("claimed").cast("double")).alias("p"))
-    quality: list[dict] = []
-    for _ in range(rounds):
-        votes = materialize(votes, "votes")
-        hit = seen.join(votes, ["news_id", "vid"]).groupBy("src").agg(
-            F.sum(F.when(F.col("claimed"), F.col("p")).otherwise(0.0)).alias("tp"), F.sum("p").alias("t"),
-            F.sum(F.when(~F.col("claimed"), 1 - F.col("p")).otherwise(0.0)).alias("tn"), F.sum(1 - F.col("p")).alias("f"),
-        )
-        now = [{"source": r["src"], "sensitivity": (r["tp"] + 8) / (r["t"] + 10), "specificity": (r["tn"] + 8) / (r["f"] + 10)} for r in hit.collect()]
-        moved = max((abs(a["sensitivity"] - b["sensitivity"]) + abs(a["specificity"] - b["specificity"]) for a, b in zip(sorted(now, key=lambda x: x["source"]), sorted(quality, key=lambda x: x["source"]), strict=False)), default=1.0)
-        quality = now
-        odds = [(q["source"], math.log(q["sensitivity"] / (1 - q["specificity"])), math.log((1 - q["sensitivity"]) / q["specificity"])) for q in quality]
-        table = articles.sparkSession.createDataFrame(odds, "src string, yes double, no double")
-        score = sized_join(seen, table, ["src"]).groupBy("news_id", "vid").agg(F.sum(F.when(F.col("claimed"), F.col("yes")).otherwise(F.col("no"))).alias("s"))
-        votes = score.select("news_id", "vid", (1 / (1 + F.exp(-(F.col("s") + math.log(prior / (1 - prior)))))).alias("p"))
-        if moved < 1e-4:
+    site = F.coalesce(host_of(F.col("originallink")), F.lit(""))
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), blank_to_null(F.col(f)).alias("value")) for f in fields]))
+    rows = articles.where("news_id is not null").select("news_id", F.concat_ws("|", site, F.coalesce("search_keyword", F.lit(""))).alias("channel"), each.alias("x"))
+    rows = rows.where("x.value is not null").select("news_id", F.col("x.f").alias("f"), "x.value", F.concat_ws("|", "x.f", "channel").alias("src"))
+    keyed = rows.select(F.xxhash64("news_id", "f").alias("a"), F.xxhash64(F.lit(1), "news_id", "value").alias("b"), F.xxhash64("src").alias("src"), "news_id", "f", "value")
+    facts = materialize(keyed.groupBy("a", "b").agg(F.min(F.struct("news_id", "f", "value")).alias("x")).select("a", "b", "x.*"), "facts")
+    claims = materialize(keyed.select("a", "b", "src").distinct(), "claims")
+    active = materialize(claims.select("a", "src").distinct(), "active")
+    quality = materialize(active.select("src").distinct().select("src", F.lit(0.8).cast("double").alias("sensitivity"), F.lit(0.8).cast("double").alias("specificity")), "quality")
+    votes = None
+    while True:
+        odds = materialize(_odds(quality), "odds")
+        denied = sized_join(active, odds, ["src"]).groupBy("a").agg(F.sum("no").alias("d"))
+        claimed = sized_join(claims, odds, ["src"]).groupBy("a", "b").agg(F.sum("more").alias("s"), F.count("*").alias("n_claims"))
+        score = F.col("s") + F.col("d") + math.log(prior / (1 - prior))
+        before, votes = votes, materialize(claimed.join(denied, "a").select("a", "b", "n_claims", (1 / (1 + F.exp(-score))).alias("p")), "votes")
+        sums = votes.groupBy("a").agg(F.sum("p").alias("t"), F.sum(1 - F.col("p")).alias("f"))
+        held = claims.join(votes, ["a", "b"]).groupBy("src").agg(F.sum("p").alias("tp"), F.sum(1 - F.col("p")).alias("fp"))
+        faced = active.join(sums, "a").groupBy("src").agg(F.sum("t").alias("t"), F.sum("f").alias("f"))
+        new = held.join(faced, "src").select("src", ((F.col("tp") + 8) / (F.col("t") + 10)).alias("sensitivity"), ((F.col("f") - F.col("fp") + 8) / (F.col("f") + 10)).alias("specificity"))
+        # the two tables of a round are one value a source; their difference is one number
+        new = materialize(new, "quality")
+        apart = new.join(quality.withColumnsRenamed({"sensitivity": "s0", "specificity": "p0"}), "src")
+        moved = apart.agg(F.max(F.greatest(F.abs(F.col("sensitivity") - F.col("s0")), F.abs(F.col("specificity") - F.col("p0"))))).first()[0] or 0.0
+        discard(quality, odds, before)
+        quality = new
+        if moved < MOVED:
             break
-    return facts.join(votes, ["news_id", "vid"]).select("news_id", "value", "n_claims", F.col("p").alias("p_true")), quality
-
+    names = rows.select("src").distinct().withColumn("name", F.col("src")).withColumn("src", F.xxhash64("src"))
+    judged = facts.join(votes, ["a", "b"]).select("news_id", F.col("f").alias("field_name"), "value", "n_claims", F.col("p").alias("p_true"))
+    return judged, quality.join(names, "src").select(F.col("name").alias("src"), "sensitivity", "specificity")
 
-def judged_fields(articles: DataFrame) -> DataFrame:
-    """``news_id, field_name, value, n_claims, p_true, is_true`` of every claimed value of the four fields.
 
-    Each field has its own model, as a source may be good in one and poor in another.
-    """
-    out = None
-    for f in FIELDS:
-        judged, _ = judged_values(articles, f)
-        part = judged.select("news_id", F.lit(f).alias("field_name"), "value", "n_claims", F.round("p_true", 4).alias("p_true"), (F.col("p_true") >= 0.5).alias("is_true"))
-        out = part if out is None else out.unionByName(part)
-    return out
+def judged_fields(articles: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """``news_id, field_name, value, n_claims, p_true, is_true`` of every claimed value; a field may keep several values."""
+    judged, _ = judged_values(articles, fields)
+    return judged.withColumn("p_true", F.round("p_true", 4)).withColumn("is_true", F.col("p_true") >= 0.5)

@@ -1,5 +1,7 @@
 """Clusters, groups of pairs, survivors and incremental deduplication against plain Python."""
 
+import collections
+import math
 import random
 
 import numpy as np
@@ -158,6 +160,7 @@ def test_survivors(spark):
     got = rows_of(survivors.found_sources(df, sites))
     assert got == [("x", "content", 1), ("x", "description", 4), ("x", "pubdate", 3), ("x", "title", 3), ("y", "description", 7)]
     built = {r.news_id: r for r in survivors.survivors(df, sites).collect()}
+    assert built["y"].description_values == ["late"] and built["y"].title_values == []
     assert built["x"].title == "Second title of the council" and built["x"].content_row_id == 1 and built["y"].title is None
     assert survivors.found_sources(df.limit(0), sites).count() == 0
 
@@ -169,19 +172,43 @@ def test_quality_model_finds_the_poor_source(spark):
             if rnd.random() < 0.9:
                 rows.append((f"n{i}", s, f"true {i}" if rnd.random() < good else f"wrong {i} {rnd.randrange(3)}"))
     rows += [("n0", "a", None), ("n0", "b", " "), (None, "a", "x")] + rows[:5]
-    df = spark.createDataFrame(rows, "news_id string, search_keyword string, title string")
-    judged, quality = survivors.judged_values(df)
-    right = [(r.p_true > 0.5) == r.value.startswith("true") for r in judged.collect()]
+    df = spark.createDataFrame([(*r, None) for r in rows], "news_id string, search_keyword string, title string, originallink string")
+    judged, quality = survivors.judged_values(df, ("title",))
+    judged = {(r.news_id, r.value): r.p_true for r in judged.collect()}
+    right = [(p > 0.5) == v.startswith("true") for (_, v), p in judged.items()]
     assert sum(right) / len(right) > 0.9
-    by = {q["source"]: q["sensitivity"] for q in quality}
-    assert by["bad"] < 0.6 < 0.8 < by["a"]
+    by = {q.src: (q.sensitivity, q.specificity) for q in quality.collect()}
+    assert by["title||bad"][0] < 0.6 < 0.8 < by["title||a"][0]
+
+    # the same model in plain Python, with denials written out
+    claims = {(n, v, s) for n, s, v in rows if n and v and v.strip()}
+    active = collections.defaultdict(set)
+    for n, _, s in claims:
+        active[n].add(s)
+    values = {(n, v) for n, v, _ in claims}
+    q = {s: (0.8, 0.8) for s in "a b c bad".split()}
+    while True:
+        p = {}
+        for n, v in values:
+            odds = sum(math.log(q[s][0] / (1 - q[s][1])) if (n, v, s) in claims else math.log((1 - q[s][0]) / q[s][1]) for s in active[n])
+            p[n, v] = 1 / (1 + math.exp(-odds))
+        new = {}
+        for s in q:
+            met = [(p[n, v], (n, v, s) in claims) for n, v in values if s in active[n]]
+            new[s] = ((sum(x for x, c in met if c) + 8) / (sum(x for x, _ in met) + 10), (sum(1 - x for x, c in met if not c) + 8) / (sum(1 - x for x, _ in met) + 10))
+        moved, q = max(abs(a - b) for s in q for a, b in zip(q[s], new[s], strict=True)), new
+        if moved < survivors.MOVED:
+            break
+    assert judged.keys() == p.keys() and all(abs(judged[k] - p[k]) < 1e-9 for k in p)
+    assert all(abs(x - y) < 1e-9 for s in q for x, y in zip(q[s], by[f"title||{s}"], strict=True))
+    assert survivors.judged_fields(df.limit(0), ("title",)).count() == 0
 
 
 def test_quality_model_judges_all_fields(spark, tmp_path):
     from gleaner.llm.queries import QUERIES
 
-    rows = [(f"n{i}", f"k{j}", f"t{i}", f"d{i}", f"c{i}" if j else f"bad{i}", f"p{i}") for i in range(12) for j in range(4)]
-    articles = spark.createDataFrame(rows, "news_id string, search_keyword string, title string, description string, content string, pubdate string")
+    rows = [(f"n{i}", f"k{j}", f"t{i}", f"d{i}", f"c{i}" if j else f"bad{i}", f"p{i}", None) for i in range(12) for j in range(4)]
+    articles = spark.createDataFrame(rows, "news_id string, search_keyword string, title string, description string, content string, pubdate string, originallink string")
     articles.write.parquet(f"{tmp_path}/raw_articles.parquet")
     got = {(r.news_id, r.field_name, r.value): r.is_true for r in QUERIES["p5_values"](spark, str(tmp_path)).collect()}
     want = {(f"n{i}", f, f"{f[0]}{i}"): True for i in range(12) for f in survivors.FIELDS}
