@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -11,11 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import uni_and_bigrams, word_tokens
-from gleaner.session import materialize, sized_join
+from gleaner.session import counted, materialize, sized_join
 
 
-#: A candidate pair costs about so many products of the plain join, as both whole vectors must meet.
-PRODUCTS = 30
+#: Rows of a block of term vectors, of which a task holds two at a time, and products that it sums at once.
+BLOCK_ROWS = 1_000
+PRODUCTS = 4_000_000
+#: Blocks of a title's print that two near prints must share to meet.
+AGREE = 2
+#: Growth of the batches in which leaders are sought.
+GROWTH = 8
 
 
 def tfidf(df: DataFrame, pos: str, text: str) -> DataFrame:
@@ -29,52 +37,74 @@ def tfidf(df: DataFrame, pos: str, text: str) -> DataFrame:
     return raw.join(norm, "pos").select("pos", "term", "df", (F.col("x") / F.col("norm")).alias("w"))
 
 
-def _dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ta, wa, tb, wb = (b.column(k) for k in (2, 3, 4, 5))
-        sims = []
-        for k in range(b.num_rows):
-            x, y = np.asarray(ta[k].values), np.asarray(tb[k].values)
-            _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-            sims.append(float(np.asarray(wa[k].values)[i] @ np.asarray(wb[k].values)[j]))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sims, pa.float64())], names=["i", "j", "sim"])
+def term_vectors(df: DataFrame, pos: str, text: str, member: DataFrame) -> DataFrame:
+    """``pos, n, ids, ws``: TF-IDF vectors of class representatives; frequencies are of all rows.
 
+    ``member`` (pos, rep, n) names the class of each row and its size.
+    """
+    reps = member.where("pos = rep").select("pos", "n")
+    items = F.sort_array(F.collect_list(F.struct(F.xxhash64("term").alias("id"), "w")))
+    rows = tfidf(df, pos, text).groupBy("pos").agg(items.alias("v")).join(reps, "pos")
+    return rows.select("pos", "n", F.transform("v", lambda x: x["id"]).alias("ids"), F.transform("v", lambda x: x["w"]).alias("ws"))
+
+
+class _Packed:
+    """A block of vectors as flat arrays: rows, class sizes, terms, weights, and the row of each term."""
+
+    def __init__(self, rows: pa.StructArray):
+        self.pos, self.n = np.asarray(rows.field("pos")), np.asarray(rows.field("n"))
+        ids, ws = rows.field("ids"), rows.field("ws")
+        self.ids, self.ws = np.asarray(ids.flatten()), np.asarray(ws.flatten())
+        self.size = np.diff(np.asarray(ids.offsets))
+        self.row = np.repeat(np.arange(len(self.pos)), self.size)
+
+
+def _similar(left: _Packed, right: _Packed, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the pairs of cosine at least ``least``: products are summed term by term, some left rows at a time."""
+    order = np.argsort(right.ids, kind="stable")
+    ids, rows, ws = right.ids[order], right.row[order], right.ws[order]
+    lo, hi = np.searchsorted(ids, left.ids, "left"), np.searchsorted(ids, left.ids, "right")
+    count = hi - lo
+    done = np.concatenate([[0], np.cumsum(np.bincount(left.row, count, len(left.pos)).astype(np.int64))])
+    at, ends, m = 0, np.concatenate([[0], np.cumsum(left.size)]), len(right.pos)
+    while at < len(left.pos):
+        to = max(at + 1, int(np.searchsorted(done, done[at] + PRODUCTS, "right")) - 1)
+        part = slice(ends[at], ends[to])
+        c = count[part]
+        total = int(c.sum())
+        if total:
+            start = np.cumsum(c) - c
+            k = np.arange(total) + np.repeat(lo[part] - start, c)
+            sums = np.bincount(np.repeat(left.row[part] - at, c) * m + rows[k], np.repeat(left.ws[part], c) * ws[k], (to - at) * m)
+            i, j = np.divmod(np.flatnonzero(np.round(sums, 9) >= least), m)
+            yield i + at, j
+        at = to
+
+
+def _met(left: DataFrame, n_left: int, right: DataFrame, n_right: int, least: float, keep, schema: str) -> DataFrame:
+    """Every block of ``left`` held against every block of ``right``, one pair of blocks a task.
+
+    ``keep(left, right, i, j)`` makes the columns of ``schema`` from similar rows. Blocks are
+    of about ``BLOCK_ROWS`` rows, whatever their terms, so that tasks are even and no
+    product leaves its task.
+    """
+    a, b = max(1, math.ceil(n_left / BLOCK_ROWS)), max(1, math.ceil(n_right / BLOCK_ROWS))
+    names = [f.split()[0] for f in schema.split(", ")]
 
-def similar_pairs(df: DataFrame, pos: str, text: str, least: float, member: DataFrame) -> DataFrame:
-    """``i, j, sim`` with i < j between class representatives of cosine at least ``least``; exact.
+    def packed(df: DataFrame, k: int, out: str, own: str, other: str, copies: int) -> DataFrame:
+        block = F.pmod(F.xxhash64("pos"), F.lit(k)).cast("int")
+        rows = df.groupBy(block.alias(own)).agg(F.collect_list(F.struct("pos", "n", "ids", "ws")).alias(out))
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartition(min(a * b, 100_000), "i", "j")
 
-    ``member`` (pos, rep) names the class of each row; frequencies are of all rows.
-    Prefix filtering: terms stand in one global order, rarest first; two vectors
-    that share no term of both prefixes, where a prefix ends when the rest's norm is
-    below ``least``, can't reach it. So frequent terms, whose lists are long, find
-    no candidates; they only count in the check. Where most pairs are similar
-    anyway, by the lengths of the lists, products are summed term by term instead.
-    """
-    reps = member.where("pos = rep").select("pos")
-    weights = tfidf(df, pos, text).join(reps, "pos", "left_semi").withColumn("id", F.xxhash64("term"))
-    item = F.struct("df", "id", "w")
-    vectors = weights.groupBy("pos").agg(F.sort_array(F.collect_list(item)).alias("v"))
-    vectors = materialize(vectors, "vectors")
-    # squared norm of what follows each term, in one pass over the reversed list
-    rest = F.aggregate(
-        F.reverse("v"), F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("skip")),
-        lambda a, x: F.when(a["s"] + x["w"] * x["w"] < (least - 1e-6) ** 2, F.struct((a["s"] + x["w"] * x["w"]).alias("s"), (a["skip"] + 1).alias("skip"))).otherwise(F.struct(F.lit(9.0).alias("s"), a["skip"].alias("skip"))),
-        lambda a: a["skip"],
-    )
-    prefix = vectors.select("pos", F.explode(F.slice("v", F.lit(1), F.size("v") - rest)).alias("t")).select("pos", "t.id")
-    pairs_of = lambda t: t.groupBy("id").agg(F.count("*").cast("double").alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0.0
-    terms = vectors.select("pos", F.explode("v").alias("t")).select("pos", "t.id", "t.w")
-    if pairs_of(terms) <= PRODUCTS * pairs_of(prefix):
-        x, y = terms.withColumnsRenamed({"pos": "i", "w": "wi"}), terms.withColumnsRenamed({"pos": "j", "w": "wj"})
-        sums = x.join(y, "id").where("i < j").groupBy("i", "j").agg(F.sum(F.col("wi") * F.col("wj")).alias("sim"))
-        return sums.where(F.round("sim", 9) >= least)
-    a, b = prefix.withColumnRenamed("pos", "i"), prefix.withColumnRenamed("pos", "j")
-    pairs = a.join(b, "id").where("i < j").select("i", "j").distinct()
-    arrays = vectors.select("pos", F.transform("v", lambda x: x["id"]).alias("ids"), F.transform("v", lambda x: x["w"]).alias("ws"))
-    both = pairs.join(arrays.withColumnsRenamed({"pos": "i", "ids": "ta", "ws": "wa"}), "i").join(arrays.withColumnsRenamed({"pos": "j", "ids": "tb", "ws": "wb"}), "j")
-    kind = df.schema[pos].dataType.simpleString()
-    sims = both.select("i", "j", "ta", "wa", "tb", "wb").mapInArrow(_dots, f"i {kind}, j {kind}, sim double")
-    return sims.where(F.round("sim", 9) >= least)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1), strict=True):
+                left, right = _Packed(x.values), _Packed(y.values)
+                for i, j in _similar(left, right, least):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in keep(left, right, i, j)], names=names)
+
+    pairs = packed(left, a, "l", "i", "j", b).join(packed(right, b, "r", "j", "i", a).hint("shuffle_hash"), ["i", "j"])
+    return pairs.select("l", "r").mapInArrow(run, schema)
 
 
 def leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -101,29 +131,93 @@ def leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return state.join(last, "pos", "left").select("pos", F.when(F.col("s") == 1, F.col("pos")).otherwise(F.col("head")).alias("leader"))
 
 
-def leader_groups(df: DataFrame, pos: str, text: str, least: float) -> DataFrame:
-    """``pos, leader, n_links``: TF-IDF leader grouping and the number of rows each row is similar to.
+def _greedy(vectors: DataFrame, least: float, kind: str) -> DataFrame:
+    """``pos`` of the leaders of at most ``BLOCK_ROWS`` rows, in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                block = _Packed(x.values)
+                near = np.zeros((len(block.pos), len(block.pos)), bool)
+                for i, j in _similar(block, block, least):
+                    near[i, j] = True
+                out = []
+                for k in np.argsort(block.pos):
+                    if not near[k, out].any():
+                        out.append(k)
+                yield pa.RecordBatch.from_arrays([pa.array(block.pos[out])], names=["pos"])
+
+    return vectors.groupBy().agg(F.collect_list(F.struct("pos", "n", "ids", "ws")).alias("x")).mapInArrow(run, f"pos {kind}")
+
+
+def _heads(vectors: DataFrame, n: int, least: float, kind: str) -> tuple[DataFrame, int]:
+    """Vectors of the greedy leaders in ``pos`` order, and their number.
+
+    Rows are taken in batches that grow by ``GROWTH``: those like an earlier leader
+    drop out, as nothing but leaders can keep a row from leading, and among the rest
+    leaders are chosen greedily, in one task where they fit a block, else in rounds
+    over their pairs. So rows meet leaders only, not each other.
+    """
+    shares = [BLOCK_ROWS * GROWTH**k / n for k in range(60) if BLOCK_ROWS * GROWTH**k < n]
+    cuts = vectors.agg(F.percentile_approx("pos", F.array(*map(F.lit, shares)), 10_000)).first()[0] if shares else []
+    heads, n_heads, after = None, 0, None
+    for upto in [*(cuts or []), None]:
+        part = vectors if after is None else vectors.where(F.col("pos") > after)
+        part = part if upto is None else part.where(F.col("pos") <= upto)
+        after = upto
+        if n_heads:
+            covered = _met(part, n, heads, n_heads, least, lambda x, y, i, j: [x.pos[np.unique(i)]], f"pos {kind}").distinct()
+            part = part.join(covered, "pos", "left_anti")
+        part, seen = counted(part, "open")
+        if not seen["n"]:
+            continue
+        if seen["n"] <= BLOCK_ROWS:
+            new = _greedy(part, least, kind)
+        else:
+            edges = _met(part, seen["n"], part, seen["n"], least, lambda x, y, i, j: [x.pos[i][(k := x.pos[i] < y.pos[j])], y.pos[j][k]], f"i {kind}, j {kind}")
+            new = leaders(part.select("pos"), edges).where("leader = pos").select("pos")
+        new, found = counted(part.join(new, "pos", "left_semi"), "heads")
+        heads, n_heads = new if heads is None else heads.unionByName(new), n_heads + found["n"]
+    return (vectors.limit(0) if heads is None else heads), n_heads
+
+
+def leader_groups(df: DataFrame, pos: str, text: str, least: float, links: bool = True) -> DataFrame:
+    """``pos, leader``, with ``links`` also ``n_links``: TF-IDF leader grouping and the number of rows each row is similar to.
 
     Rows with equal token lists are one class and compared once; a leader is always
     the first row of its class, and a member goes to the last leader before it that
     is adjacent to its class. A text without tokens (NULL, empty, marks only) is
-    alone. ``pos`` must be unique.
+    alone. ``pos`` must be a unique number. Grouping holds rows against leaders only; counting
+    links holds all representatives against all, in blocks, and counts where they meet.
     """
     tokens = word_tokens(F.col(text))
+    kind = df.schema[pos].dataType.simpleString()
     rows = df.select(F.col(pos).alias("pos"), F.when(F.size(tokens) > 0, F.md5(F.array_join(tokens, " "))).alias("c"))
     classes = rows.where("c is not null").groupBy("c").agg(F.min("pos").alias("rep"), F.count("*").alias("n"))
     classes = materialize(classes, "classes")
-    member = materialize(sized_join(rows, classes, ["c"], "left").select("pos", F.coalesce("rep", "pos").alias("rep"), F.coalesce("n", F.lit(1)).alias("n")), "member")
-    edges = materialize(similar_pairs(df, pos, text, least, member), "similar")
-    chosen = materialize(leaders(classes.select(F.col("rep").alias("pos")), edges), "chosen")
-    heads = chosen.where("leader = pos").select(F.col("pos").alias("head"))
-    ways = edges.select(F.explode(F.array(F.struct(F.col("i").alias("rep"), F.col("j").alias("head")), F.struct(F.col("j").alias("rep"), F.col("i").alias("head")))).alias("x")).select("x.rep", "x.head")
-    sizes = classes.select(F.col("rep").alias("head"), F.col("n").alias("m"))
-    links = ways.join(sizes, "head").groupBy("rep").agg(F.sum("m").alias("m"))
-    near = ways.join(heads, "head", "left_semi").unionByName(heads.select(F.col("head").alias("rep"), "head"))
-    last = member.select("pos", "rep").join(near, "rep").where("head <= pos").groupBy("pos").agg(F.max("head").alias("leader"))
-    out = member.join(last, "pos", "left").join(links, "rep", "left")
-    return out.select("pos", F.coalesce("leader", "pos").alias("leader"), (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"))
+    member = sized_join(rows, classes, ["c"], "left").select("pos", F.coalesce("rep", "pos").alias("rep"), F.coalesce("n", F.lit(1)).alias("n"))
+    member = materialize(member, "member")
+    vectors, seen = counted(term_vectors(df, pos, text, member), "vectors")
+    heads, n_heads = _heads(vectors, seen["n"], least, kind)
+
+    def last(x: _Packed, y: _Packed, i: np.ndarray, j: np.ndarray) -> list[np.ndarray]:
+        """The last leader before each row; a class of several rows may also go to one behind its first row."""
+        keep = (y.pos[j] <= x.pos[i]) | (x.n[i] > 1)
+        i, j = i[keep], j[keep]
+        order = np.lexsort((y.pos[j], i))
+        i, j = i[order], j[order]
+        final = np.append(i[1:] != i[:-1], True) if len(i) else np.zeros(0, bool)
+        final |= x.n[i] > 1
+        return [x.pos[i][final], y.pos[j][final]]
+
+    near = _met(vectors, seen["n"], heads, n_heads, least, last, f"rep {kind}, head {kind}")
+    placed = member.select("pos", "rep").join(near, "rep").where("head <= pos").groupBy("pos").agg(F.max("head").alias("leader"))
+    out = member.join(placed, "pos", "left").select("pos", "rep", "n", F.coalesce("leader", "pos").alias("leader"))
+    if not links:
+        return out.select("pos", "leader")
+    count = lambda x, y, i, j: [x.pos, np.bincount(i, y.n[j] * (x.pos[i] != y.pos[j]), len(x.pos)).astype(np.int64)]
+    met = _met(vectors, seen["n"], vectors, seen["n"], least, count, f"rep {kind}, m bigint").groupBy("rep").agg(F.sum("m").alias("m"))
+    return out.join(met, "rep", "left").select("pos", "leader", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"))
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -206,12 +300,14 @@ def simhash_pairs(prints: DataFrame, title_distance: int = 10, body_distance: in
     """``i, j`` (i < j) of classes of equal prints within both distances; exact.
 
     Rows with equal prints are one class, named by its smallest ``pos``. Two titles
-    within d bits agree on one of d + 1 blocks of bits; classes meet in those blocks
-    and both distances are checked.
+    within d bits agree on ``AGREE`` of d + ``AGREE`` blocks of bits at least; classes meet in the
+    values of any so many blocks together, and both distances are checked there.
     """
     reps = materialize(prints.groupBy("title_fp", "body_fp").agg(F.min("pos").alias("pos")), "prints")
-    blocks, at = title_distance + 1, [round(64 * k / (title_distance + 1)) for k in range(title_distance + 2)]
-    keys = F.array(*[F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("title_fp", at[k]).bitwiseAND(F.lit((1 << (at[k + 1] - at[k])) - 1)).alias("v")) for k in range(blocks)])
+    blocks = title_distance + AGREE
+    at = [round(64 * k / blocks) for k in range(blocks + 1)]
+    piece = [F.shiftrightunsigned("title_fp", at[k]).bitwiseAND(F.lit((1 << (at[k + 1] - at[k])) - 1)) for k in range(blocks)]
+    keys = F.array(*[F.struct(F.lit(n).alias("k"), reduce(lambda x, y: F.shiftleft(x, 8).bitwiseOR(y), [piece[c] for c in some]).alias("v")) for n, some in enumerate(combinations(range(blocks), AGREE))])
     rows = reps.select("pos", "title_fp", "body_fp", F.explode(keys).alias("x")).select("pos", "title_fp", "body_fp", "x.k", "x.v")
     a = rows.withColumnsRenamed({"pos": "i", "title_fp": "t1", "body_fp": "b1"})
     b = rows.withColumnsRenamed({"pos": "j", "title_fp": "t2", "body_fp": "b2"})
@@ -232,8 +328,8 @@ def simhash_dedup(df: DataFrame, pos: str, title_distance: int = 10, body_distan
 
 def cluster_rows(df: DataFrame, title: float, body: float, mode: str = "or") -> DataFrame:
     """``pos, title_id, body_id, cluster_id`` of title and body leader groups, merged by ``mode``."""
-    t = leader_groups(df, "pos", "title", title).select("pos", F.col("leader").alias("title_id"))
-    b = leader_groups(df, "pos", "content", body).select("pos", F.col("leader").alias("body_id"))
+    t = leader_groups(df, "pos", "title", title, links=False).select("pos", F.col("leader").alias("title_id"))
+    b = leader_groups(df, "pos", "content", body, links=False).select("pos", F.col("leader").alias("body_id"))
     groups = materialize(t.join(b, "pos"), "groups")
     merged = or_merge(groups) if mode == "or" else and_merge(groups)
     return groups.join(merged, "pos")

@@ -43,8 +43,9 @@ def texts_of(rnd, n):
 
 def test_leader_groups_equal_the_loop(spark, monkeypatch):
     rnd = random.Random(2)
-    for products in (30, 0):  # both ways to the same sums
+    for products, rows in ((4_000_000, 1_000), (50, 10), (1, 2)):  # one block; several; leaders in rounds over pairs
         monkeypatch.setattr(similarity, "PRODUCTS", products)
+        monkeypatch.setattr(similarity, "BLOCK_ROWS", rows)
         texts = texts_of(rnd, 40)
         sims = tfidf_sims(texts)
         df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "pos bigint, title string, df int")
