@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import combinations
 
@@ -26,13 +27,18 @@ AGREE = 2
 GROWTH = 8
 
 
-def tfidf(df: DataFrame, pos: str, text: str) -> DataFrame:
-    """``pos, term, df, w``: smooth idf, raw counts, L2-normalised; texts without tokens have no rows."""
+def _raw_weights(df: DataFrame, pos: str, text: str) -> DataFrame:
+    """``pos, term, df, x``: smooth idf times raw counts, not normalised."""
     terms = df.select(F.col(pos).alias("pos"), F.explode(uni_and_bigrams(word_tokens(F.col(text)))).alias("term"))
     tf = materialize(terms.groupBy("pos", "term").agg(F.count("*").alias("tf")), "tf")
     n = df.count()
     freq = tf.groupBy("term").agg(F.count("*").alias("df"))
-    raw = tf.join(freq, "term").withColumn("x", F.col("tf") * (F.log((F.lit(1.0) + n) / (1 + F.col("df"))) + 1))
+    return tf.join(freq, "term").withColumn("x", F.col("tf") * (F.log((F.lit(1.0) + n) / (1 + F.col("df"))) + 1))
+
+
+def tfidf(df: DataFrame, pos: str, text: str) -> DataFrame:
+    """``pos, term, df, w``: smooth idf, raw counts, L2-normalised; texts without tokens have no rows."""
+    raw = _raw_weights(df, pos, text)
     norm = raw.groupBy("pos").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     return raw.join(norm, "pos").select("pos", "term", "df", (F.col("x") / F.col("norm")).alias("w"))
 
@@ -43,9 +49,9 @@ def term_vectors(df: DataFrame, pos: str, text: str, member: DataFrame) -> DataF
     ``member`` (pos, rep, n) names the class of each row and its size.
     """
     reps = member.where("pos = rep").select("pos", "n")
-    items = F.sort_array(F.collect_list(F.struct(F.xxhash64("term").alias("id"), "w")))
-    rows = tfidf(df, pos, text).groupBy("pos").agg(items.alias("v")).join(reps, "pos")
-    return rows.select("pos", "n", F.transform("v", lambda x: x["id"]).alias("ids"), F.transform("v", lambda x: x["w"]).alias("ws"))
+    items = F.sort_array(F.collect_list(F.struct(F.xxhash64("term").alias("id"), "x")))
+    rows = _raw_weights(df, pos, text).groupBy("pos").agg(items.alias("v"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm")).join(reps, "pos")
+    return rows.select("pos", "n", F.transform("v", lambda t: t["id"]).alias("ids"), F.transform("v", lambda t: t["x"] / F.col("norm")).alias("ws"))
 
 
 class _Packed:
@@ -328,8 +334,10 @@ def simhash_dedup(df: DataFrame, pos: str, title_distance: int = 10, body_distan
 
 def cluster_rows(df: DataFrame, title: float, body: float, mode: str = "or") -> DataFrame:
     """``pos, title_id, body_id, cluster_id`` of title and body leader groups, merged by ``mode``."""
-    t = leader_groups(df, "pos", "title", title, links=False).select("pos", F.col("leader").alias("title_id"))
-    b = leader_groups(df, "pos", "content", body, links=False).select("pos", F.col("leader").alias("body_id"))
+    with ThreadPoolExecutor(2) as pool:  # two chains of jobs that don't depend on each other
+        t = pool.submit(leader_groups, df, "pos", "title", title, False)
+        b = pool.submit(leader_groups, df, "pos", "content", body, False)
+        t, b = t.result().select("pos", F.col("leader").alias("title_id")), b.result().select("pos", F.col("leader").alias("body_id"))
     groups = materialize(t.join(b, "pos"), "groups")
     merged = or_merge(groups) if mode == "or" else and_merge(groups)
     return groups.join(merged, "pos")
