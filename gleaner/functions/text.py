@@ -84,3 +84,45 @@ def guarded_label(label: Column, least: int = 3, most: int = 30) -> Column:
     """Trimmed label, '' unless its length lies within bounds; NULL gives ''."""
     bare = unicode_trim(label)
     return F.when(F.length(bare).between(least, most), bare).otherwise("")
+
+
+def strip_bold(c: Column) -> Column:
+    """Without ``<b>`` and ``</b>``, trimmed."""
+    return unicode_trim(F.regexp_replace(c, r"</?b>", ""))
+
+
+def url_quote(c: Column) -> Column:
+    """Percent-encoded UTF-8; letters, digits and ``-_.~`` stay."""
+    out = F.url_encode(c)
+    for old, new in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return out
+
+
+def build_url(base: str, delimiter: str, *parts: Column) -> Column:
+    """Base followed by delimiter and part, for each part; NULL parts are left out."""
+    return F.concat(F.lit(base), *[F.coalesce(F.concat(F.lit(delimiter), p.cast("string")), F.lit("")) for p in parts])
+
+
+def passage(title: Column, content: Column) -> Column:
+    """Text of a document as retrieval encoders expect it."""
+    return F.concat(F.lit("passage: "), F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(content, F.lit("")))
+
+
+def search_query(q: Column) -> Column:
+    return F.concat(F.lit("query: "), F.coalesce(q, F.lit("")))
+
+
+def stamp(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, as ``collected_at`` is written; give ``current_timestamp()`` for now."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
+def zoned_stamp(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss+hhmm`` in the session's zone; NULL for no time."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ssxx")
+
+
+def polite_style(c: Column) -> Column:
+    """Whether the text speaks in the polite style of announcements; NULL doesn't."""
+    return F.coalesce(c.rlike("입니다|습니다"), F.lit(False))

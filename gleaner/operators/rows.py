@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import press_piece, unicode_trim
+from gleaner.session import sized_join
 
 
 def first_reason(*cases: tuple[Column, str]) -> Column:
@@ -24,16 +26,15 @@ def pre_filter(
 ) -> DataFrame:
     """Add ``reject_reason`` by link, required keyword, title words, snippet length, repeated title of a press.
 
-    ``keywords`` (keyword, is_required) is a control table and is joined by
-    broadcast. A NULL link or, where required, a NULL title is rejected; a NULL
+    ``keywords`` (keyword, is_required) is a control table, broadcast if its bytes allow. A NULL link or, where required, a NULL title is rejected; a NULL
     description is kept. Of several rows with one press host and title (NULLs
     equal) the first by ``pos`` among rows that no earlier case rejects is kept.
     """
-    kw = F.broadcast(keywords.select(F.col("keyword").alias("search_keyword"), "is_required").dropDuplicates(["search_keyword"]))
+    kw = keywords.select(F.col("keyword").alias("search_keyword"), "is_required").dropDuplicates(["search_keyword"])
     words = [re.escape(w.strip()) for w in excluded if w.strip()]
     title = F.lower(F.col("title"))
     missing = F.coalesce("is_required", F.lit(False)) & ~F.coalesce(F.contains(title, F.lower("search_keyword")), F.lit(False))
-    rows = df.join(kw, "search_keyword", "left").withColumn(
+    rows = sized_join(df, kw, ["search_keyword"], "left").withColumn(
         "__why",
         first_reason(
             (~F.coalesce(F.col("link").rlike(link_pattern), F.lit(False)), "link"),
@@ -42,9 +43,13 @@ def pre_filter(
             (F.length("description") < least_snippet, "snippet"),
         ),
     )
-    order = W.partitionBy("__why", press_piece(F.col("originallink")), "title").orderBy("pos")
-    again = F.col("__why").isNull() & (F.row_number().over(order) > 1)
-    return rows.withColumn("reject_reason", F.when(again, "repeated_title").otherwise(F.col("__why"))).drop("__why", "is_required")
+    rows = rows.withColumn("__press", press_piece(F.col("originallink")))
+    # the first row of each press and title is a map-side minimum over the rows that are left
+    first = rows.where("__why is null").groupBy(F.col("__press").alias("__p"), F.col("title").alias("__t")).agg(F.min("pos").alias("__first"))
+    on = F.col("__why").isNull() & F.col("__press").eqNullSafe(F.col("__p")) & F.col("title").eqNullSafe(F.col("__t"))
+    again = F.col("__why").isNull() & (F.col("pos") > F.col("__first"))
+    out = rows.join(first, on, "left").withColumn("reject_reason", F.when(again, "repeated_title").otherwise(F.col("__why")))
+    return out.drop("__why", "is_required", "__press", "__p", "__t", "__first")
 
 
 def post_filter(df: DataFrame, least: int = 200, most: int = 5000) -> DataFrame:
@@ -163,3 +168,34 @@ def validate(df: DataFrame, required: list[str], key: str = "link") -> DataFrame
         bad = all_duplicates(df, key).agg(F.count("*").alias("n_bad"))
         rows = rows.unionByName(bad.select(F.lit("unique_key").alias("check_name"), F.when(F.col("n_bad") > 0, "fail").otherwise("pass").alias("status"), "n_bad"))
     return rows
+
+
+def duplicate_dump(df: DataFrame, key: str = "link", top: int | None = None) -> DataFrame:
+    """All rows of repeated keys in key order; ``top`` rows for a console report."""
+    out = all_duplicates(df, key).orderBy(key, *(["pos"] if "pos" in df.columns else []))
+    return out if top is None else out.limit(top)
+
+
+def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
+    """The table itself; ValueError names the columns it lacks."""
+    if missing := check_columns(df, required):
+        raise ValueError(f"missing columns: {missing}")
+    return df
+
+
+def check_codes(df: DataFrame | None, required: list[str], key: str = "link") -> list[tuple[str, int]]:
+    """Exit codes of the checks, in order, up to the first that fails: 0 pass, 1 no table or column, 2 repeated keys."""
+    if df is None or key not in df.columns:
+        return [("unique_key", 1)]
+    codes = [("unique_key", 2 if all_duplicates(df, key).limit(1).count() else 0)]
+    return codes if codes[0][1] else [*codes, ("required_columns", 1 if check_columns(df, required) else 0)]
+
+
+def is_agency(url: Column, domains: list[str]) -> Column:
+    """Whether the link contains one of the domains; NULL contains none."""
+    return F.coalesce(reduce(lambda a, b: a | b, [F.contains(url, F.lit(d)) for d in domains], F.lit(False)), F.lit(False))
+
+
+def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Columns that the table lacks, filled with constants."""
+    return df.select("*", *[F.lit(v).alias(c) for c, v in defaults.items() if c not in df.columns])

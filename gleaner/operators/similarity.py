@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import uni_and_bigrams, word_tokens
+from gleaner.functions.text import normalize_title, uni_and_bigrams, word_tokens
 from gleaner.session import counted, materialize, sized_join
 
 
@@ -346,3 +347,91 @@ def cluster_rows(df: DataFrame, title: float, body: float, mode: str = "or") ->
 def global_dedup(df: DataFrame, title: float = 0.20, body: float = 0.19) -> DataFrame:
     """Rows with cluster, ``is_canon`` and ``removed_by``: one row per cluster is kept."""
     return elect(df.join(cluster_rows(df, title, body), "pos")).withColumn("removed_by", F.when(~F.col("is_canon"), "global_similarity"))
+
+
+def group_numbers(groups: DataFrame, leader: str = "leader") -> DataFrame:
+    """``pos, group_id``: groups numbered from 0 in the order of their leaders."""
+    heads = groups.select(leader).distinct()
+    # leaders are ranked in ranges: the counts of lower ranges are few and are summed first
+    part = F.shiftright(F.col(leader).cast("bigint"), 16)
+    sizes = heads.groupBy(part.alias("p")).agg(F.count("*").alias("n"))
+    before = sizes.select("p", (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("p").orderBy(leader))
+    numbered = heads.withColumn("p", part).withColumn("k", rank).join(before, "p").select(leader, (F.col("before") + F.col("k") - 1).alias("group_id"))
+    return groups.join(numbered, leader).select("pos", "group_id")
+
+
+def label(prefix: str, c: Column) -> Column:
+    """Group label such as ``C-7``; NULL stays NULL."""
+    return F.concat(F.lit(f"{prefix}-"), c.cast("string"))
+
+
+def consecutive_pairs(rows: DataFrame, groups: list[str], via: str) -> DataFrame:
+    """``a, b, via``: each row of a group and the next one in ``pos`` order."""
+    nxt = F.lead("pos").over(Window.partitionBy(*groups).orderBy("pos"))
+    return rows.select(F.col("pos").alias("a"), nxt.alias("b"), F.lit(via).alias("via")).where("b is not null")
+
+
+def probe(df: DataFrame, title: float = 0.20, body: float = 0.20, mode: str = "or") -> tuple[DataFrame, DataFrame]:
+    """Candidates (rows of clusters of two or more, with ``global_sim_cluster``) and edges ``src, dst, via``; nothing is deleted.
+
+    ``mode`` 'or' links neighbours in a title group and in a body group, 'and' those in
+    both ('title+body'). Ends are given by ``news_id``.
+    """
+    if mode not in ("or", "and"):
+        raise ValueError(f"unknown mode {mode!r}")
+    merged = materialize(cluster_rows(df, title, body, mode), "probe")
+    if mode == "or":
+        pairs = consecutive_pairs(merged, ["title_id"], "title").unionByName(consecutive_pairs(merged, ["body_id"], "body"))
+    else:
+        pairs = consecutive_pairs(merged, ["title_id", "body_id"], "title+body")
+    ids = df.select("pos", "news_id")
+    edges = pairs.join(ids.withColumnsRenamed({"pos": "a", "news_id": "src"}), "a").join(ids.withColumnsRenamed({"pos": "b", "news_id": "dst"}), "b").select("src", "dst", "via")
+    many = merged.groupBy("cluster_id").agg(F.count("*").alias("n")).where("n > 1").select("cluster_id")
+    hit = merged.join(many, "cluster_id", "left_semi").select("pos", label("G", F.col("cluster_id")).alias("global_sim_cluster"))
+    return df.join(hit, "pos"), edges
+
+
+def group_counts(groups: DataFrame, group: str = "cluster_id") -> DataFrame:
+    """``n_rows, n_groups, n_similar``: rows that share a group with an earlier one are similar."""
+    n = F.count("*")
+    return groups.agg(n.alias("n_rows"), F.count_distinct(group).alias("n_groups"), (n - F.count_distinct(group)).alias("n_similar"))
+
+
+def repeated_ids(groups: DataFrame, group: str = "cluster_id", key: str = "news_id") -> DataFrame:
+    """``group, n_rows, n_ids`` of clusters in which an id stands twice; NULL ids count as none."""
+    counts = groups.groupBy(group).agg(F.count(key).alias("n_rows"), F.count_distinct(key).alias("n_ids"))
+    return counts.where("n_rows > n_ids")
+
+
+def arrival(df: DataFrame) -> list[Column]:
+    """Order of arrival before SimHash: ``collected_at``, without that column ``pubdate``, as text; ties by ``pos``."""
+    first = next((c for c in ("collected_at", "pubdate") if c in df.columns), None)
+    return [*([F.col(first).asc_nulls_last()] if first else []), F.col("pos").asc()]
+
+
+def keyword_cluster(df: DataFrame, title: float = 0.18, body: float = 0.17) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``cluster_id, title_id, body_id`` as labels, ``is_canon``, ``replaced_by``, and one row of counts.
+
+    Titles are normalised before grouping, bodies are taken as they are, from
+    ``content`` or, without it, ``body``.
+    """
+    rows = df.withColumn("__t", normalize_title(F.col("title")))
+    text = "content" if "content" in df.columns else "body"
+    cut = rows.select("pos", F.col("__t").alias("title"), F.col(text).alias("content"))
+    out = elect(df.join(cluster_rows(cut, title, body), "pos"))
+    out = materialize(out.select("*", *[label(k, F.col(c)).alias(f"__{c}") for k, c in (("C", "cluster_id"), ("T", "title_id"), ("B", "body_id"))]), "clustered")
+    stats = out.agg(F.count("*").alias("fetched"), F.count_distinct("cluster_id").alias("similar_groups"), F.count_if("is_canon").alias("canonical_count"))
+    for c in ("cluster_id", "title_id", "body_id"):
+        out = out.drop(c).withColumnRenamed(f"__{c}", c)
+    return out, stats
+
+
+def elect_by(df: DataFrame, policy: Callable[[pd.DataFrame], pd.Series], cluster: str = "cluster_id") -> DataFrame:
+    """``cluster, replaced_by`` by any policy that picks one row of a cluster given as a pandas table.
+
+    A cluster goes to one task whole; for the usual policy take ``elect``, which needs no such thing.
+    """
+    kind = df.schema[cluster].dataType.simpleString()
+    pick = lambda pdf: pd.DataFrame({cluster: [pdf[cluster].iloc[0]], "replaced_by": [policy(pdf)["news_id"]]})
+    return df.groupBy(cluster).applyInPandas(pick, f"{cluster} {kind}, replaced_by string")

@@ -18,6 +18,8 @@ from gleaner.session import materialize, sized_join
 WINDOW_ROWS = 20_000
 #: Queries that one pass of the vector search holds against all rows.
 QUERY_ROWS = 2_000
+#: Clusters whose vector sums go to the workers at once.
+CLUSTER_ROWS = 16_384
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -97,24 +99,45 @@ def silhouette(df: DataFrame, label: str = "label", dim: int = 64) -> DataFrame:
     """``silhouette``: mean cosine silhouette; 0 with fewer than two labels or rows.
 
     Mean distances to a cluster follow from the cluster's vector sum, so no pair of
-    rows is ever formed. Rows of a cluster of one count as 0.
+    rows is ever formed; sums go to the workers in blocks of ``CLUSTER_ROWS``, each one
+    more map over the rows. Rows of a cluster of one count as 0; NULL labels are no cluster.
     """
     norm = F.sqrt(dot(F.col("embedding"), F.col("embedding")))
-    unit = df.where("embedding is not null").select(F.col(label).alias("label"), F.transform("embedding", lambda x: x / norm).alias("u"))
+    unit = df.where("embedding is not null").where(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.transform("embedding", lambda x: x / norm).alias("u"))
     sums = [F.sum(F.get("u", F.lit(i))).alias(f"s{i}") for i in range(dim)]
     clusters = materialize(unit.groupBy("label").agg(F.count("*").alias("n"), *sums).select("label", "n", F.array(*[f"s{i}" for i in range(dim)]).alias("total")), "sums")
-    if clusters.limit(10_001).count() > 10_000:
-        raise ValueError("more than 10,000 clusters")
-    c = F.broadcast(clusters.withColumnRenamed("label", "other"))
-    mean = 1 - dot(F.col("u"), F.col("total")) / F.col("n")
-    rows = unit.withColumn("id", F.monotonically_increasing_id()).join(c)
-    per = rows.groupBy("id", "label").agg(
-        F.min(F.when(F.col("other") != F.col("label"), mean)).alias("b"),
-        F.max(F.when(F.col("other") == F.col("label"), mean * F.col("n") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"),
-        F.max(F.when(F.col("other") == F.col("label"), F.col("n"))).alias("n"),
-    )
+    rows = unit.select("label", "u", F.lit(None).cast("double").alias("a"), F.lit(None).cast("double").alias("b"), F.lit(None).cast("bigint").alias("n"))
+    for block in itertools.batched(clusters.toLocalIterator(), CLUSTER_ROWS):
+        rows = _with_distances(rows, block)
     s = F.when(F.col("n") > 1, (F.col("b") - F.col("a")) / F.greatest("a", "b")).otherwise(0.0)
-    return per.agg(F.round(F.coalesce(F.avg(s), F.lit(0.0)), 6).alias("silhouette"))
+    return rows.agg(F.round(F.coalesce(F.avg(F.when(F.col("b").isNull(), 0.0).otherwise(s)), F.lit(0.0)), 6).alias("silhouette"))
+
+
+def _with_distances(rows: DataFrame, block: tuple) -> DataFrame:
+    """Rows whose least mean distance ``b`` to another cluster, and ``a``, ``n`` of their own, take in one more block of clusters."""
+    labels = np.array([r["label"] for r in block])
+    n, total = np.array([r["n"] for r in block], np.float64), np.array([r["total"] for r in block], np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, u = batch.column(0).to_numpy(zero_copy_only=False), np.asarray(batch.column(1).flatten(), np.float64).reshape(batch.num_rows, -1)
+            a, b = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.float64) for k in (2, 3))
+            size = batch.column(4).to_numpy(zero_copy_only=False).astype(np.float64)
+            for lo in range(0, len(u), 1024):
+                part = slice(lo, lo + 1024)
+                d, mine = 1 - u[part] @ total.T / n, own[part, None] == labels[None, :]
+                b[part] = np.fmin(b[part], np.where(mine, np.inf, d).min(1))
+                row, at = np.nonzero(mine)
+                a[lo + row] = d[row, at] * n[at] / np.maximum(n[at] - 1, 1)
+                size[lo + row] = n[at]
+            b[np.isinf(b)] = np.nan
+            none = lambda x: pa.array(x, pa.float64(), mask=np.isnan(x))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], none(a), none(b), none(size).cast(pa.int64())], names=["label", "u", "a", "b", "n"])
+
+    kind = rows.schema["label"].dataType.simpleString()
+    return rows.mapInArrow(run, f"label {kind}, u array<double>, a double, b double, n bigint")
 
 
 def cluster_quality(df: DataFrame, label: str = "label") -> DataFrame:

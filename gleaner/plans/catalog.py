@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions import instants, text
 from gleaner.functions.sites import host_of
-from gleaner.operators import rows, similarity, vectors
+from gleaner.operators import providers, rows, similarity, vectors
 from gleaner.session import table
-from gleaner.sources import archives
+from gleaner.sources import archives, pages
 from gleaner.streaming import events as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 LINKS = r"news\.portal"
-EXCLUDED = ["포토", "[사진]", "[영상]", "[화보]", "[그래픽]", "[부고]"]
+# Words in titles that are not collected.
+EXCLUDED = ["포토", "헤드라인", "[사진]", "[영상]", "[화보]", "[그래픽]", "톱뉴스", "[오늘의 주요일정]", "[투데이 라인업]", "[프로필]", "[부고]"]
+# Hosts of news agencies.
+AGENCIES = ["newsis.com", "yna.co.kr", "news1.kr"]
 COLUMNS = ["search_keyword", "news_id", "pubdate", "collected_at", "title", "description", "link", "originallink", "content"]
 TEMPLATE = "제목 목록:\n{titles}\n공통 이슈를 한 줄로."
 
@@ -104,7 +109,7 @@ def shingle_counts(spark, d):
 
 _WHY = f"""CASE WHEN NOT coalesce(regexp_matches(link, '{LINKS}'), false) THEN 'link'
   WHEN coalesce(is_required, false) AND NOT coalesce(contains(lower(title), lower(search_keyword)), false) THEN 'keyword'
-  WHEN coalesce(regexp_matches(title, '(?i)포토|\\[사진\\]|\\[영상\\]|\\[화보\\]|\\[그래픽\\]|\\[부고\\]'), false) THEN 'title'
+  WHEN coalesce(regexp_matches(title, '(?i){"|".join(re.escape(w) for w in EXCLUDED)}'), false) THEN 'title'
   WHEN coalesce(length(description) < 20, false) THEN 'snippet' END"""
 _PRE = f"""{_A}, w AS (SELECT a.*, {_WHY} AS why FROM a LEFT JOIN keyword_config k ON k.keyword = a.search_keyword),
  pre AS (SELECT *, CASE WHEN why IS NULL AND row_number() OVER (PARTITION BY why, {_PRESS}, title ORDER BY pos) > 1 THEN 'repeated_title' ELSE why END AS reject_reason FROM w)"""
@@ -342,6 +347,107 @@ def probe_candidates(spark, d):
     return merged.join(big, "cluster_id").select("pos", "cluster_id", "n", via.alias("via"))
 
 
+@query(
+    "probe_edges",
+    _cluster_sql(0.20, 0.20) + "SELECT substr(md5(a::VARCHAR), 1, 12) AS src, substr(md5(b::VARCHAR), 1, 12) AS dst, via FROM (SELECT pos AS a, lead(pos) OVER (PARTITION BY title_id ORDER BY pos) AS b, 'title' AS via FROM g "
+    "UNION ALL SELECT pos, lead(pos) OVER (PARTITION BY body_id ORDER BY pos), 'body' FROM g) WHERE b IS NOT NULL",
+)
+def probe_edges(spark, d):
+    return similarity.probe(_doc_articles(spark, d), 0.20, 0.20, "or")[1]
+
+
+@query(
+    "normal_keyword_cluster",
+    _cluster_sql(0.18, 0.17).replace("lower(coalesce(title, ''))", f"lower({_NT})")
+    + "SELECT pos, 'C-' || cluster_id AS cluster_id, 'T-' || title_id AS title_id, 'B-' || body_id AS body_id, is_canon FROM m",
+)
+def normal_keyword_cluster(spark, d):
+    return similarity.keyword_cluster(_doc_articles(spark, d))[0].select("pos", "cluster_id", "title_id", "body_id", "is_canon")
+
+
+@query("group_numbers", f"WITH {_G} SELECT pos, dense_rank() OVER (ORDER BY title_id) - 1 AS group_id FROM g")
+def group_numbers(spark, d):
+    return similarity.group_numbers(_groups(spark, d), "title_id")
+
+
+@query("similar_group_count", f"WITH {_G} SELECT count(*) AS n_rows, count(DISTINCT body_id) AS n_groups, count(*) - count(DISTINCT body_id) AS n_similar FROM g")
+def similar_group_count(spark, d):
+    return similarity.group_counts(_groups(spark, d), "body_id")
+
+
+@query("repeated_ids", f"WITH {_G} SELECT body_id, count(news_id) AS n_rows, count(DISTINCT news_id) AS n_ids FROM g JOIN raw_articles ON row_id = pos GROUP BY body_id HAVING count(news_id) > count(DISTINCT news_id)")
+def repeated_ids(spark, d):
+    return similarity.repeated_ids(_groups(spark, d).join(articles(spark, d).select("pos", "news_id"), "pos"), "body_id")
+
+
+@query("consecutive_pairs", f"WITH {_G} SELECT pos AS a, b, 'body' AS via FROM (SELECT pos, lead(pos) OVER (PARTITION BY body_id ORDER BY pos) AS b FROM g) WHERE b IS NOT NULL")
+def consecutive_pairs(spark, d):
+    return similarity.consecutive_pairs(_groups(spark, d), ["body_id"], "body")
+
+
+@query("arrival_order", "SELECT row_id AS pos, lag(row_id) OVER (ORDER BY collected_at ASC NULLS LAST, row_id) AS before FROM raw_articles WHERE search_keyword = (SELECT min(keyword) FROM keyword_config)")
+def arrival_order(spark, d):
+    """Order before SimHash within one keyword's rows, shown by each row's predecessor."""
+    first = table(spark, d, "keyword_config").agg(F.min("keyword").alias("search_keyword"))
+    a = articles(spark, d).join(F.broadcast(first), "search_keyword", "left_semi")
+    return a.select("pos", F.lag("pos").over(Window.partitionBy("search_keyword").orderBy(*similarity.arrival(a))).alias("before"))
+
+
+# ---- small text and row functions
+
+
+@query("strip_bold", f"SELECT row_id AS pos, {_TRIM.format("regexp_replace(title, '</?b>', '', 'g')")} AS title FROM raw_articles")
+def strip_bold(spark, d):
+    return articles(spark, d).select("pos", text.strip_bold(F.col("title")).alias("title"))
+
+
+@query("url_quote", "SELECT row_id AS pos, url_encode(title) AS quoted, 'https://n.example/s/' || search_keyword || '/' || row_id AS url FROM raw_articles")
+def url_quote(spark, d):
+    return articles(spark, d).select("pos", text.url_quote(F.col("title")).alias("quoted"), text.build_url("https://n.example/s", "/", F.col("search_keyword"), F.col("pos")).alias("url"))
+
+
+@query("passages", "SELECT row_id AS pos, md5('passage: ' || coalesce(title, '') || ' ' || coalesce(content, '')) AS passage_md5, 'query: ' || coalesce(title, '') AS query FROM raw_articles")
+def passages(spark, d):
+    return articles(spark, d).select("pos", F.md5(text.passage(F.col("title"), F.col("content"))).alias("passage_md5"), text.search_query(F.col("title")).alias("query"))
+
+
+@query("stamps", f"WITH {_A} SELECT pos, strftime(pub_ts, '%Y-%m-%d %H:%M:%S') AS stamp, strftime(pub_ts, '%Y-%m-%d %H:%M:%S') || '+0000' AS zoned FROM a")
+def stamps(spark, d):
+    a = articles(spark, d)
+    return a.select("pos", text.stamp(F.col("pub_ts")).alias("stamp"), text.zoned_stamp(F.col("pub_ts")).alias("zoned"))
+
+
+@query("polite_rows", "SELECT row_id AS pos FROM raw_articles WHERE coalesce(regexp_matches(content, '입니다|습니다'), false)")
+def polite_rows(spark, d):
+    return articles(spark, d).where(text.polite_style(F.col("content"))).select("pos")
+
+
+@query("agency_rows", "SELECT row_id AS pos, coalesce(contains(originallink, 'newsis.com') OR contains(originallink, 'yna.co.kr') OR contains(originallink, 'news1.kr') OR contains(originallink, 'ilbo.example'), false) AS is_agency FROM raw_articles")
+def agency_rows(spark, d):
+    return articles(spark, d).select("pos", rows.is_agency(F.col("originallink"), [*AGENCIES, "ilbo.example"]).alias("is_agency"))
+
+
+@query("summary_copy", "SELECT news_id, pubdate, title, description FROM raw_articles")
+def summary_copy(spark, d):
+    return archives.summary(table(spark, d, "raw_articles"))
+
+
+@query("with_defaults", "SELECT row_id, '' AS body, 0 AS version FROM raw_articles")
+def with_defaults(spark, d):
+    return rows.with_defaults(table(spark, d, "raw_articles"), {"body": "", "version": 0, "title": "x"}).select("row_id", "body", "version")
+
+
+_PAGE = r"regexp_replace(text, '[^\p{L}\p{N}]+', ' ', 'g')"
+
+
+@query("html_extract", f"SELECT doc_id, CASE WHEN {_PAGE} IS NULL THEN '' ELSE trim({_PAGE}) END AS content FROM documents")
+def html_extract(spark, d):
+    """Article bodies out of pages with scripts, advertisements and menus around each text's words."""
+    words = F.regexp_replace("text", r"[^\p{L}\p{N}]+", " ")
+    page = F.concat(F.lit("<html><body><ul><li>menu</ul><article id='dic_area'><script>var x = '<b>';</script>"), words, F.lit("<span>ad</span><em>more</em></article><article>other</article></body></html>"))
+    return pages.html_extract(table(spark, d, "documents").select("doc_id", page.alias("html"))).select("doc_id", "content")
+
+
 # ---- windows of time and runs
 
 
@@ -352,15 +458,16 @@ def recent_window(spark, d):
 
 @query(
     "due_check",
-    "SELECT event_type AS keyword, round((epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(ts))) / 3.6e9, 6) AS elapsed_hours FROM events WHERE value < 40 GROUP BY event_type "
-    "HAVING (epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(ts))) / 3.6e9 >= 0.01",
+    "WITH n AS (SELECT max(ts) AS now FROM events), k AS (SELECT user_id, epoch_us((SELECT now FROM n)) - epoch_us(max(ts) FILTER (WHERE event_type = 'purchase')) AS us FROM events GROUP BY user_id) "
+    "SELECT user_id::VARCHAR AS keyword, round(us / 3.6e9, 6) AS elapsed_hours FROM k WHERE coalesce(us / 3.6e9 >= 24, true)",
 )
 def due_check(spark, d):
+    """Users as keys; the state has those that ever purchased, so that keys that never ran take part."""
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    keys = e.where("value < 40").select(F.col("event_type").alias("keyword")).distinct()
-    state = e.where("value < 40").groupBy(F.col("event_type").alias("keyword")).agg(F.max("ts").alias("last_executed"))
-    now = F.broadcast(e.agg(F.max("ts").alias("now")))
-    return rows.due(keys, state.crossJoin(now), F.col("now"), 0.01).select("keyword", F.round("elapsed_hours", 6).alias("elapsed_hours"))
+    keys = e.select(F.col("user_id").cast("string").alias("keyword")).distinct()
+    state = e.where("event_type = 'purchase'").groupBy(F.col("user_id").cast("string").alias("keyword")).agg(F.max("ts").alias("last_executed"))
+    now = e.agg(F.max("ts").alias("now"))
+    return rows.due(keys, state.crossJoin(F.broadcast(now)), F.col("now"), 24.0).select("keyword", F.round("elapsed_hours", 6).alias("elapsed_hours"))
 
 
 @query(
@@ -426,6 +533,34 @@ def issue_board(spark, d):
     return vectors.issue_board(items, vectors.density_clusters(items))
 
 
+@query(
+    "issue_meta_given_labels",
+    f"WITH {_CENT}, l AS (SELECT label, list(mean ORDER BY k) AS m FROM c GROUP BY label), s AS (SELECT label, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], m), 9) AS sim FROM embeddings JOIN l USING (label) WHERE label <> 0), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY sim DESC, vec_id) AS rank, count(*) OVER (PARTITION BY label)::INT AS n FROM s) "
+    "SELECT label AS issue_cluster_id, 'issue_' || label AS issue_label, n AS cluster_size, string_agg('item ' || vec_id, '|' ORDER BY rank) AS titles FROM r WHERE rank <= 5 GROUP BY label, n",
+)
+def issue_meta_given_labels(spark, d):
+    """Issue rows of labelled vectors; label 0 plays the noise."""
+    e = table(spark, d, "embeddings").withColumn("title", F.concat(F.lit("item "), "vec_id"))
+    labels = e.select("vec_id", F.when(F.col("label") == 0, -1).otherwise(F.col("label")).alias("cluster_id"))
+    return vectors.issue_board(e, labels).select("issue_cluster_id", "issue_label", "cluster_size", F.array_join("representative_titles", "|").alias("titles"))
+
+
+@query("label_dispatch", "SELECT issue_cluster_id, CASE WHEN len(coalesce(representative_titles, [])) = 0 THEN 'issue_' || issue_cluster_id ELSE CASE WHEN length(representative_titles[1]) BETWEEN 3 AND 30 AND representative_titles[1] IS NOT NULL THEN representative_titles[1] ELSE 'issue_' || issue_cluster_id END END AS issue_label FROM issue_meta")
+def label_dispatch(spark, d):
+    """Labels by a provider that answers with the prompt's first title."""
+    first = lambda ask: next((x[2:] for x in ask.split("\n") if x.startswith("- ")), "")
+    return providers.label_issues(table(spark, d, "issue_meta"), {"first": first}, "first", TEMPLATE).select("issue_cluster_id", "issue_label")
+
+
+@query("unit_embeddings", "WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n FROM embeddings) SELECT vec_id, round(list_sum(list_transform(e, lambda x: x / n)), 4) AS total FROM v")
+def unit_embeddings(spark, d):
+    """Vectors of a provider that reads them from text, normalised by the batch operator."""
+    e = table(spark, d, "embeddings").select("vec_id", F.array_join("embedding", " ").alias("t"))
+    out = providers.embed(e, "vec_id", F.col("t"), lambda texts: np.array([[float(x) * 3 for x in t.split()] for t in texts]))
+    return out.select("vec_id", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+
+
 # ---- labels and prompts
 
 

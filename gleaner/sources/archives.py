@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,12 +39,20 @@ def read_archive(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFr
     return spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def read_keyword_archives(spark: SparkSession, root: str, keywords: list[str]) -> DataFrame:
-    """The archives of the configured keywords that exist, as one table."""
+def read_keyword_archives(spark: SparkSession, root: str, keywords: list[str], part: str | None = None) -> DataFrame:
+    """The archives of the configured keywords that exist (``<root>/<keyword>[/<part>]``), as one table.
+
+    Missing and unreadable ones are left out.
+    """
     out = spark.createDataFrame([], SCHEMA)
     for k in keywords:
-        if exists(spark, f"{root}/{k}"):
-            out = out.unionByName(spark.read.parquet(f"{root}/{k}"), allowMissingColumns=True)
+        path = f"{root}/{k}/{part}" if part else f"{root}/{k}"
+        if exists(spark, path):
+            try:
+                one = spark.read.parquet(path)
+            except AnalysisException:
+                continue
+            out = out.unionByName(one, allowMissingColumns=True)
     return out
 
 
@@ -84,8 +93,10 @@ def summary(df: DataFrame) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str, schema: str = META) -> DataFrame:
-    """A JSON array or object file as rows; a missing file is empty."""
-    return spark.read.schema(schema).json(path, multiLine=True) if exists(spark, path) else spark.createDataFrame([], schema)
+    """A JSON array or object file, or a folder of JSON lines, as rows; a missing one is empty."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path, multiLine=not is_folder(spark, path))
 
 
 def read_state(spark: SparkSession, path: str) -> dict[str, str]:
@@ -131,3 +142,25 @@ def latest_run(spark: SparkSession, root: str) -> str:
 def as_json(df: DataFrame) -> DataFrame:
     """One JSON text per row, as an HTTP layer would serve it."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
+
+
+def write_csv(df: DataFrame, path: str, columns: list[str] = COLUMNS) -> None:
+    """CSV with header, declared columns first, quotes doubled; replaces what is at ``path`` through a staging folder."""
+    replace(ordered(df, columns), path, "csv", header=True, escape='"', encoding="UTF-8")
+
+
+def read_template(spark: SparkSession, path: str, default: str | None = None) -> str:
+    """A text file whole; without it the default, or FileNotFoundError if there is none."""
+    if not exists(spark, path):
+        if default is None:
+            raise FileNotFoundError(path)
+        return default
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str | None = None) -> DataFrame:
+    """Elements ``row_tag`` of XML files as rows; an empty path is a ValueError."""
+    if not path:
+        raise ValueError("no path")
+    reader = spark.read.option("rowTag", row_tag)
+    return (reader.schema(schema) if schema else reader).xml(path)

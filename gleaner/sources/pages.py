@@ -89,7 +89,7 @@ class _Page(InputPartition):
 
 
 class SearchPages(DataSource):
-    """``spark.read.format("search_pages")``: options path (folder of ``<keyword>/<start>.json``), keyword, total, display.
+    """``spark.read.format("search_pages")``: options path (folder of ``<keyword>/<start>.json`` that all executors see), keyword, total, display.
 
     One partition per page; a page that is missing or broken has no rows and
     doesn't stop the others. Rows carry ``pos``, by which the caller cuts to total.

@@ -28,19 +28,20 @@ def windowed_counts(stream: DataFrame, ts: str, by: str, width: str = "12 hours"
 def run_to_table(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over what there is and give its result as a table in the shared folder.
 
-    In complete mode every batch replaces the table, in append mode it adds to it.
+    In complete mode every batch replaces the table, in append mode it adds to it: a batch
+    is a folder named by its number, so one that is repeated after a failure replaces itself.
     """
     spark = stream.sparkSession
     path = f"{shared_dir(spark)}/gleaner-stream-{uuid.uuid4().hex}"
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{path}/rows")
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/{0 if mode == 'complete' else number}")
 
     query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception():
         raise RuntimeError(str(query.exception()))
-    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(f"{path}/rows")
 
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, key: str = "link") -> StreamingQuery:
