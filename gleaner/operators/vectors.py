@@ -103,7 +103,7 @@ def silhouette(df: DataFrame, label: str = "label", dim: int = 64) -> DataFrame:
     more map over the rows. Rows of a cluster of one count as 0; NULL labels are no cluster.
     """
     norm = F.sqrt(dot(F.col("embedding"), F.col("embedding")))
-    unit = df.where("embedding is not null").where(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.transform("embedding", lambda x: x / norm).alias("u"))
+    unit = df.where("embedding is not null").where(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.get(F.transform(F.array(norm), lambda n: F.transform("embedding", lambda x: x / n)), F.lit(0)).alias("u"))
     sums = [F.sum(F.get("u", F.lit(i))).alias(f"s{i}") for i in range(dim)]
     clusters = materialize(unit.groupBy("label").agg(F.count("*").alias("n"), *sums).select("label", "n", F.array(*[f"s{i}" for i in range(dim)]).alias("total")), "sums")
     rows = unit.select("label", "u", F.lit(None).cast("double").alias("a"), F.lit(None).cast("double").alias("b"), F.lit(None).cast("bigint").alias("n"))
