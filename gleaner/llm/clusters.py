@@ -44,12 +44,21 @@ def plan(n: int, least: float = SIMILAR) -> tuple[int, int]:
 
 def valid_vectors(items: DataFrame, dim: int = DIMENSIONS) -> DataFrame:
     """``item_id, pri, vec``: unit vectors of items whose vector is whole, finite and not zero."""
-    v = F.transform("embedding", lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    good = (F.size("embedding") == dim) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e30))
-    rows = items.where("item_id is not null and embedding is not null").where(good)
-    rows = rows.select("item_id", v.alias("v"), norm.alias("n")).where("n > 0")
-    return rows.select("item_id", F.xxhash64("item_id").alias("pri"), F.transform("v", lambda x: (x / F.col("n")).cast("float")).alias("vec"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)  # NULL is NaN
+            with np.errstate(all="ignore"):
+                n = np.sqrt((x * x).sum(1))
+                good = np.isfinite(x).all(1) & (np.abs(x) < 1e30).all(1) & (n > 0)
+                unit = (x[good] / n[good, None]).astype(np.float32)
+            ids = [c.filter(pa.array(good)) for c in batch.columns[:2]]
+            ends = pa.array(np.arange(0, len(unit) * dim + 1, dim, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*ids, pa.ListArray.from_arrays(ends, pa.array(unit.ravel()))], names=["item_id", "pri", "vec"])
+
+    kind = items.schema["item_id"].dataType.simpleString()
+    rows = items.where("item_id is not null and embedding is not null").where(F.size("embedding") == dim)
+    return rows.select("item_id", F.xxhash64("item_id").alias("pri"), F.col("embedding").cast("array<double>")).mapInArrow(run, f"item_id {kind}, pri bigint, vec array<float>")
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
