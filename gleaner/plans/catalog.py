@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import instants, text
 from gleaner.functions.sites import host_of
 from gleaner.operators import providers, rows, similarity, vectors
-from gleaner.session import table
+from gleaner.session import sized_join, table
 from gleaner.sources import archives, pages
 from gleaner.streaming import events as streams
 
@@ -172,7 +172,7 @@ def archive_upsert(spark, d):
 @query("merge_keyword_archives", "SELECT search_keyword, count(*) AS n, count(DISTINCT news_id) AS n_ids FROM raw_articles WHERE search_keyword IN (SELECT keyword FROM keyword_config) GROUP BY search_keyword")
 def merge_keyword_archives(spark, d):
     a = table(spark, d, "raw_articles")
-    kept = a.join(F.broadcast(table(spark, d, "keyword_config").select(F.col("keyword").alias("search_keyword")).distinct()), "search_keyword", "left_semi")
+    kept = sized_join(a, table(spark, d, "keyword_config").select(F.col("keyword").alias("search_keyword")).distinct(), ["search_keyword"], "left_semi")
     return rows.merge_archives([kept.where("row_id % 2 = 0"), kept.where("row_id % 2 = 1")]).groupBy("search_keyword").agg(F.count("*").alias("n"), F.countDistinct("news_id").alias("n_ids"))
 
 
@@ -256,8 +256,8 @@ def and_groups(spark, d):
 
 
 def _electable(spark, d) -> DataFrame:
-    sites = F.broadcast(table(spark, d, "press_sites").select("site", "is_agency"))
-    a = articles(spark, d).withColumn("site", host_of(F.col("originallink"))).join(sites, "site", "left")
+    sites = table(spark, d, "press_sites").select("site", "is_agency")
+    a = sized_join(articles(spark, d).withColumn("site", host_of(F.col("originallink"))), sites, ["site"], "left")
     return a.withColumn("cluster_id", F.coalesce("title", "news_id"))
 
 
@@ -309,9 +309,9 @@ def simhash_dedup(spark, d):
 
 def _doc_articles(spark, d) -> DataFrame:
     docs = table(spark, d, "documents")
-    sites = F.broadcast(table(spark, d, "press_sites").select(F.col("site").alias("source"), "is_agency"))
+    sites = table(spark, d, "press_sites").select(F.col("site").alias("source"), "is_agency")
     ids = docs.select(F.col("doc_id").alias("pos"), "title", F.col("text").alias("content"), "source", F.md5(F.col("doc_id").cast("string")).substr(1, 12).alias("news_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 60).alias("pub_ts"))
-    return ids.join(sites, "source", "left")
+    return sized_join(ids, sites, ["source"], "left")
 
 
 def _cluster_sql(title: float, body: float) -> str:
