@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from gleaner.llm import bpe, clusters, components, history, leakage, residue, sentences, site_lines, survivors
 from gleaner.session import table
 
@@ -83,11 +85,30 @@ def p2_found(spark, d):
     return clusters.found_clusters(table(spark, d, "issue_items"))
 
 
+_P2_ISSUES = """
+WITH v AS (SELECT item_id, list_transform(e, lambda x: (x / n)::FLOAT::DOUBLE) AS e FROM (SELECT item_id, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n
+  FROM issue_items WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0) WHERE n > 0),
+p AS (SELECT a.item_id AS i, min(b.item_id) AS c, count(*) AS n, round(sum(list_inner_product(a.e, b.e)), 9) AS s FROM v a JOIN v b ON list_inner_product(a.e, b.e) >= 0.88 GROUP BY a.item_id HAVING count(*) > 1),
+m AS (SELECT c, n, i AS medoid FROM p QUALIFY row_number() OVER (PARTITION BY c ORDER BY s DESC, i) = 1),
+t AS (SELECT p.c, title, max(round(list_inner_product(a.e, b.e), 9)) AS s, min(p.i) AS f FROM p JOIN m USING (c) JOIN v a ON a.item_id = p.i JOIN v b ON b.item_id = m.medoid
+  JOIN (SELECT item_id, min(title) AS title FROM issue_items WHERE title IS NOT NULL GROUP BY item_id) x ON x.item_id = p.i GROUP BY ALL),
+r AS (SELECT c, title, row_number() OVER (PARTITION BY c ORDER BY s DESC, f) AS k FROM t QUALIFY k <= 5)
+SELECT m.c AS issue_cluster_id, m.n AS cluster_size, m.medoid AS medoid_item_id, coalesce(string_agg(title, '|' ORDER BY k), '') AS titles FROM m LEFT JOIN r ON r.c = m.c GROUP BY ALL
+"""
+
+
 @query("p2_issues")
 def p2_issues(spark, d):
     return clusters.issue_rows(table(spark, d, "issue_items"))
 
 
+@query("p2_issue_titles", _P2_ISSUES)
+def p2_issue_titles(spark, d):
+    """The issue rows with their titles in one text, for the comparison with SQL."""
+    rows = clusters.issue_rows(table(spark, d, "issue_items"))
+    return rows.select("issue_cluster_id", "cluster_size", "medoid_item_id", F.array_join("representative_titles", "|").alias("titles"))
+
+
 @query("p9_found")
 def p9_found(spark, d):
     return leakage.found_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))

@@ -31,10 +31,6 @@ def _either(words: list[str]) -> str:
     return "(?:" + "|".join(w.replace(".", "\\.") for w in sorted(words, key=len, reverse=True)) + ")"
 
 
-def _span(a: str, b: str) -> str:
-    return f"{a}[^{a}{b}{_BR}]*{b}" if a != b else f"{a}[^{a}{_BR}]*{b}"
-
-
 _PAIRS = [("“", "”"), ("‘", "’"), ("「", "」"), ("『", "』"), ("｢", "｣"), ("《", "》"), ("〈", "〉"), ("【", "】"), ("〔", "〕"), ("（", "）"), ('"', '"')]
 #: Quoted and bracketed spans within a line, addresses, and what is between them.
 SEGMENT = (
