@@ -108,13 +108,15 @@ def boundaries(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     )
     rows = rows.select(key, measure.alias("__s"))
     total = lambda xs: F.aggregate(xs, F.lit(0), lambda acc, x: acc + x["n"])
-    # prefix sums in two levels, so that a text of many sentences stays cheap
+    # prefix sums in two levels, blocks of the root of all sentences, so that a text of many stays cheap
+    w = F.greatest(F.lit(_BLOCK), F.ceil(F.sqrt(F.size("__s")))).cast("int")
     blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("__s") - 1) / _BLOCK).cast("int")),
-        lambda b: F.struct(total(F.slice("__s", b * _BLOCK + 1, _BLOCK)).alias("n")),
+        F.sequence(F.lit(0), F.floor((F.size("__s") - 1) / w).cast("int")),
+        lambda b: F.struct(total(F.slice("__s", b * w + 1, w)).alias("n")),
     )
-    rows = rows.select(key, "__s", blocks.alias("__b"))
-    offset = lambda i: total(F.slice("__b", 1, F.floor(i / _BLOCK).cast("int"))) + total(F.slice("__s", (F.floor(i / _BLOCK) * _BLOCK + 1).cast("int"), i % _BLOCK))
+    rows = rows.select(key, "__s", w.alias("__w"), blocks.alias("__b"))
+    w = F.col("__w")
+    offset = lambda i: total(F.slice("__b", 1, F.floor(i / w).cast("int"))) + total(F.slice("__s", (F.floor(i / w) * w + 1).cast("int"), i % w))
     spans = F.transform("__s", lambda s, i: F.struct(offset(i).alias("o"), s.alias("s")))
     rows = rows.select(key, F.explode(spans).alias("__x"))
     rows = rows.select(key, (F.col("__x.o") + F.col("__x.s.a")).cast("int").alias("start_pos"), (F.col("__x.o") + F.col("__x.s.n") - F.col("__x.s.z")).cast("int").alias("end_pos"))
