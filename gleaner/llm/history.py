@@ -62,8 +62,8 @@ def widest_depth(recall: float = RECALL, trees: int = TREES, share: float = SHAR
     return next(d for d in range(DEPTH, 0, -1) if 1 - (1 - s**d) ** trees >= recall or d == 1)
 
 
-def text_words(content: str | None, gone: Collection[int] = (), known: Container[tuple] = (), site: str = "") -> list[str]:
-    """Words of a text: entities resolved, NFKC, lower case, letters and digits.
+def _tokens(content: str | None, gone: Collection[int] = (), known: Container[tuple] = (), site: str = "") -> list[str]:
+    """Tokens between white space: entities resolved, NFKC, lower case.
 
     Lines numbered in ``gone``, or whose ``(site, hash, hash)`` is ``known``, are left aside.
     """
@@ -77,7 +77,12 @@ def text_words(content: str | None, gone: Collection[int] = (), known: Container
     text = " ".join(lines)
     if "&" in text:
         text = " ".join(normal_lines(html.unescape(text)))
-    return [w for t in text.split() if (w := _MARKS.sub("", t))]
+    return text.split()
+
+
+def text_words(content: str | None) -> list[str]:
+    """Words of a text: its tokens' letters and digits."""
+    return [w for t in _tokens(content) if (w := _MARKS.sub("", t))]
 
 
 def common_words(a: list[int], b: list[int]) -> int:
@@ -117,23 +122,24 @@ def _signed_rows(rows: DataFrame, known: set[tuple[str, int, int]] | None) -> Da
         for batch in batches:
             h1, h2, ns, words, lows = [], [], [], [], []
             for site, content, gone in zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)), strict=True):
-                w = text_words(content, gone or (), site_lines, site)
-                ns.append(len(w) or None)
-                if not w:
-                    h1.append(None)
-                    h2.append(None)
-                    continue
                 if len(memory) > 500_000:
                     memory.clear()
                 seen: dict[int, int] = {}
                 code, again = [], []
-                for t in w:
-                    if (c := memory.get(t)) is None:
-                        c = memory[t] = xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"))
-                    k = seen.get(c, 0)
-                    seen[c] = k + 1
-                    code.append(c)
-                    again.append(k)
+                for t in _tokens(content, gone or (), site_lines, site):
+                    if (c := memory.get(t)) is None:  # a token is stripped and hashed once; 0: no word
+                        w = _MARKS.sub("", t)
+                        c = memory[t] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) if w else 0
+                    if c:
+                        k = seen.get(c, 0)
+                        seen[c] = k + 1
+                        code.append(c)
+                        again.append(k)
+                ns.append(len(code) or None)
+                if not code:
+                    h1.append(None)
+                    h2.append(None)
+                    continue
                 arr = np.array(code, np.uint64)
                 e = arr + np.array(again, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 e = (e ^ (e >> np.uint64(31))).astype(np.uint32)
