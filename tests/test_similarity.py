@@ -7,8 +7,10 @@ from collections import Counter
 from datetime import datetime
 
 import numpy as np
+import pytest
 
 from gleaner.operators import similarity, vectors
+from gleaner.plans import catalog
 
 
 def tfidf_sims(texts):
@@ -145,3 +147,16 @@ def test_topk_in_blocks_of_queries(spark):
     u = x / np.linalg.norm(x, axis=1)[:, None]
     best = np.argsort(-(u @ u.T), axis=1)[:, :2]
     assert got == {(i, k + 1): int(best[i % 40, k]) for i in range(10_050) for k in range(2)}
+
+
+def test_keyword_cluster_query_normalises_titles(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    docs = [(1, "[속보] 첫째 소식", "w1 w2 w3", "a.example"), (2, "[속보] 둘째 사건", "w4 w5 w6", "a.example"), (3, "첫째 소식 (종합)", "w7 w8", None), (4, None, None, "b.example")]
+    spark.createDataFrame(docs, "doc_id bigint, title string, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("b.example", True)], "site string, is_agency boolean").coalesce(1).write.parquet(f"{tmp_path}/press_sites.parquet")
+    got = sorted(map(tuple, catalog.QUERIES["keyword_cluster"](spark, str(tmp_path)).collect()))
+    assert [(r[0], r[1], r[3]) for r in got] == [(1, 1, 1), (2, 2, 2), (3, 1, 1), (4, 4, 4)]  # the bracketed word alone joined 1 and 2
+    con = duckdb.connect()
+    for name in ("documents", "press_sites"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert got == sorted(con.sql(catalog.ORACLES["keyword_cluster"]).fetchall())
