@@ -160,3 +160,14 @@ def test_keyword_cluster_query_normalises_titles(spark, tmp_path):
     for name in ("documents", "press_sites"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
     assert got == sorted(con.sql(catalog.ORACLES["keyword_cluster"]).fetchall())
+
+
+def test_blocks_of_vectors_are_not_copied(spark, monkeypatch):
+    """Pairs of blocks are read from the folder, not made by a join of copies that would go through disk."""
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 4)
+    df = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} c{i % 3}") for i in range(30)], "pos bigint, title string")
+    wrote, write = [], similarity.materialize
+    monkeypatch.setattr(similarity, "materialize", lambda t, *a: wrote.append(a[0]) or write(t, *a))
+    shelf = similarity._Shelf(df, "pos", "title", df.selectExpr("pos", "pos AS rep", "1L AS n", "true AS c"), 30, 0.3)
+    plan = shelf.links()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and wrote == ["freq", "vectors"]
