@@ -171,3 +171,16 @@ def test_blocks_of_vectors_are_not_copied(spark, monkeypatch):
     shelf = similarity._Shelf(df, "pos", "title", df.selectExpr("pos", "pos AS rep", "1L AS n", "true AS c"), 30, 0.3)
     plan = shelf.links()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan and wrote == ["freq", "vectors"]
+
+
+def test_simhash_leaders_in_one_task_and_in_rounds(spark, monkeypatch):
+    rnd = random.Random(7)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(90)) for _ in range(8)]
+    rows = [(i, (t := rnd.choice(base))[:40], t[: 90 - i % 4]) for i in range(40)]
+    df = spark.createDataFrame(rows, "pos bigint, title string, content string")
+    monkeypatch.setattr(similarity, "leaders", None)  # few pairs need no rounds of jobs on the driver
+    monkeypatch.setattr(similarity, "PRINT_ROWS", 3)  # pairs of blocks
+    few = sorted(map(tuple, similarity.simhash_dedup(df, "pos").collect()))
+    monkeypatch.undo()
+    monkeypatch.setattr(similarity, "PAIRS", 0)
+    assert few == sorted(map(tuple, similarity.simhash_dedup(df, "pos").collect())) and any(r for _, r in few)
