@@ -7,6 +7,7 @@ from collections import Counter
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gleaner.operators import similarity, vectors
@@ -184,3 +185,34 @@ def test_simhash_leaders_in_one_task_and_in_rounds(spark, monkeypatch):
     monkeypatch.undo()
     monkeypatch.setattr(similarity, "PAIRS", 0)
     assert few == sorted(map(tuple, similarity.simhash_dedup(df, "pos").collect())) and any(r for _, r in few)
+
+
+def test_texts_are_cut_into_words_once(spark, monkeypatch):
+    cuts, cut = [], similarity.word_tokens
+    monkeypatch.setattr(similarity, "word_tokens", lambda c: cuts.append(1) or cut(c))
+    df = spark.createDataFrame([(1, "a1 b1 c1"), (2, "a1 b1 c2"), (3, None), (4, "d1")], "pos bigint, title string")
+    got = sorted(map(tuple, similarity.leader_groups(df, "pos", "title", 0.2).collect()))
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 4, 0)] and len(cuts) == 1
+
+
+def test_terms_of_token_lists():
+    rnd = random.Random(11)
+    lists = [[rnd.randrange(-3, 4) for _ in range(rnd.randrange(9))] for _ in range(50)] + [[], [5], [5, 5]]
+    ids, g, row, tf = similarity._terms(pa.array(lists, pa.list_(pa.int64())))
+    assert (np.diff(ids) > 0).all()
+    want = [Counter(x + list(zip(x, x[1:], strict=False))) for x in lists]
+    for k, terms in enumerate(want):
+        assert sorted(tf[row == k]) == sorted(terms.values()) and (np.diff(g[row == k]) > 0).all()
+        assert {ids[a]: n for a, n in zip(g[row == k], tf[row == k], strict=True) if ids[a] in terms} == {x: n for x, n in terms.items() if not isinstance(x, tuple)}
+    assert len(ids) == len({x for terms in want for x in terms})  # the order of neighbours counts
+    assert all(len(x) == 0 for x in similarity._terms(pa.array([[], []], pa.list_(pa.int64()))))
+
+
+def test_groups_of_blocks_hold_against_leaders_read_once(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 4)
+    df = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} c{i % 3}") for i in range(400)], "pos bigint, title string")
+    shelf = similarity._Shelf(df, "pos", "title", df.selectExpr("pos", "pos AS rep", "1L AS n", "true AS c"), 400, 0.3)
+    groups = shelf._groups(shelf.sizes, 1)
+    assert sorted(b for g in groups for b in g) == sorted(shelf.sizes) and len(groups) < len(shelf.sizes)
+    assert max(sum(shelf.sizes[b] for b in g) for g in groups) <= similarity.GROUP * similarity.BLOCK_ROWS
+    shelf.discard()
