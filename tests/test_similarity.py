@@ -216,3 +216,56 @@ def test_groups_of_blocks_hold_against_leaders_read_once(spark, monkeypatch):
     assert sorted(b for g in groups for b in g) == sorted(shelf.sizes) and len(groups) < len(shelf.sizes)
     assert max(sum(shelf.sizes[b] for b in g) for g in groups) <= similarity.GROUP * similarity.BLOCK_ROWS
     shelf.discard()
+
+
+def blocks_of(rnd, n_rows, n_terms):
+    """A packed block of random unit vectors, frequent terms first."""
+    rows = [sorted({min(int(rnd.expovariate(0.08)), n_terms - 1) for _ in range(rnd.randrange(0, 14))}) for _ in range(n_rows)]
+    weights = [np.array([rnd.random() + t / n_terms for t in r]) for r in rows]
+    row = np.repeat(np.arange(n_rows), [len(r) for r in rows])
+    w = np.concatenate([x / np.linalg.norm(x) if len(x) else x for x in weights])
+    return similarity._Packed(np.arange(n_rows), np.ones(n_rows, np.int64), row, np.array([t for r in rows for t in r], np.int32), w)
+
+
+@pytest.mark.parametrize("most_open", [0, 3, 1000])
+def test_sketches_find_the_pairs_of_all_products(most_open):
+    rnd = random.Random(5)
+    x, y = blocks_of(rnd, 90, 120), blocks_of(rnd, 70, 120)
+    k = 10
+    dense = np.zeros((70, k), np.float32)
+    dense[y.row[y.term < k], y.term[y.term < k]] = y.w[y.term < k]
+    axes = np.ascontiguousarray(np.linalg.eigh((dense.T @ dense).astype(float))[1][:, ::-1][:, :4].astype(np.float32))
+    place = np.where(np.arange(120) < 40, np.arange(120), -1).astype(np.int32)
+    basis = (place, axes, 40, 6)
+    a, b = similarity._Sketch(x, basis), similarity._Sketch(y, basis)
+    assert a.bound.shape == (90, 4 + 1 + 6)
+    for least in (0.05, 0.2, 0.5, 0.9):
+        want = similarity._near(x, y, least, 3, 50)
+        got = similarity._near_bounded(a, b, least, 3, 50, most_open)
+        assert [v.tolist() for v in got] == [v.tolist() for v in want] and len(want[0])
+        kept = np.array([rnd.random() < 0.6 for _ in range(90)])
+        got, want = similarity._near(a.take(kept), b, least, 3, 50), similarity._near(x.take(kept), y, least, 3, 50)
+        assert [v.tolist() for v in got] == [v.tolist() for v in want]
+
+
+def test_leader_groups_by_sketches_equal_the_loop(spark, monkeypatch):
+    rnd = random.Random(23)
+    texts = [" ".join(f"w{min(int(rnd.expovariate(0.06)), 90):02d}" for _ in range(rnd.randrange(1, 12))) for _ in range(160)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "pos bigint, title string")
+    sims = tfidf_sims(texts)
+    want = sequential_leaders(len(texts), lambda i, j: round(sims[i][j], 9) >= 0.2)
+    for name, value in (("BLOCK_ROWS", 10), ("OPEN_BLOCKS", 2), ("DENSE", 0), ("FREQUENT", 12), ("AXES", 5), ("BUCKETS", 4), ("SHARE", 0.02)):
+        monkeypatch.setattr(similarity, name, value)
+    bases, write = [], similarity.materialize
+    monkeypatch.setattr(similarity, "materialize", lambda t, *a: [w := write(t, *a), bases.append(w.count()) if a[0] == "basis" else None][0])
+    got = {r.pos: r.leader for r in similarity.leader_groups(df, "pos", "title", 0.2, False).collect()}
+    assert got == dict(enumerate(want)) and bases and bases[0] > 12  # frequent and other common terms
+
+
+def test_blocks_are_dealt_evenly(spark):
+    shelf = similarity._Shelf.__new__(similarity._Shelf)
+    shelf.spark = spark
+    cores = spark.sparkContext.defaultParallelism
+    sizes = {b: similarity.BLOCK_ROWS - b for b in range(4 * cores + 1)}
+    groups = shelf._groups(sizes, 1)
+    assert len(groups) == cores and max(map(len, groups)) - min(map(len, groups)) <= 1  # each group reads all leaders: no more groups than cores
