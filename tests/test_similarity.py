@@ -248,6 +248,39 @@ def test_sketches_find_the_pairs_of_all_products(most_open):
         assert [v.tolist() for v in got] == [v.tolist() for v in want]
 
 
+def sketches(x, y, common=40, k=10):
+    dense = np.zeros((len(y.pos), k), np.float32)
+    dense[y.row[y.term < k], y.term[y.term < k]] = y.w[y.term < k]
+    axes = np.ascontiguousarray(np.linalg.eigh((dense.T @ dense).astype(float))[1][:, ::-1][:, :4].astype(np.float32))
+    basis = (np.where(np.arange(120) < common, np.arange(120), -1).astype(np.int32), axes, common, 6)
+    return similarity._Sketch(x, basis), similarity._Sketch(y, basis)
+
+
+def test_rows_with_many_open_pairs_use_what_the_sketch_has(monkeypatch):
+    rnd = random.Random(6)
+    x, y = blocks_of(rnd, 90, 120), blocks_of(rnd, 70, 120)
+    a, b = sketches(x, y)
+    want = similarity._near(x, y, 0.8, 3, 50)
+    open_ = similarity._near_bounded(a, b, 0.8, 3, 50, 1000)
+    monkeypatch.setattr(similarity, "_near", None)  # packing rows by term again
+    for most_open in (1, 3):
+        got = similarity._near_bounded(a, b, 0.8, 3, 50, most_open)
+        assert [v.tolist() for v in got] == [v.tolist() for v in want] == [v.tolist() for v in open_] and len(want[0])
+
+
+def test_joined_sketches_keep_their_bounds():
+    rnd = random.Random(7)
+    x, y = blocks_of(rnd, 90, 120), blocks_of(rnd, 70, 120)
+    a, b = sketches(x, y)
+    kept = np.arange(90) % 3 > 0
+    both = similarity._Sketch.joined([a.take(kept), a.take(~kept)])
+    assert np.array_equal(both.bound, np.concatenate([a.bound[kept], a.bound[~kept]]))
+    whole = similarity._Packed.joined([x.take(kept), x.take(~kept)])
+    for least in (0.2, 0.5):
+        got, want = similarity._near(both, b, least, 3, 50), similarity._near(whole, y, least, 3, 50)
+        assert [v.tolist() for v in got] == [v.tolist() for v in want] and len(want[0])
+
+
 def test_leader_groups_by_sketches_equal_the_loop(spark, monkeypatch):
     rnd = random.Random(23)
     texts = [" ".join(f"w{min(int(rnd.expovariate(0.06)), 90):02d}" for _ in range(rnd.randrange(1, 12))) for _ in range(160)] + [None, ""]
