@@ -163,6 +163,19 @@ def test_keyword_cluster_query_normalises_titles(spark, tmp_path):
     assert got == sorted(con.sql(catalog.ORACLES["keyword_cluster"]).fetchall())
 
 
+def test_keyword_cluster_writes_no_texts(spark, monkeypatch):
+    written, write = {}, similarity.materialize
+    monkeypatch.setattr(similarity, "materialize", lambda t, name="t", *by: [written.update({name: t.columns}), write(t, name, *by)][1])
+    data = [(i, f"t{i // 2} x{i // 2}", f"w{i} v{i}", f"n{i}", False, None) for i in range(4)]
+    df = spark.createDataFrame(data, "pos bigint, title string, content string, news_id string, is_agency boolean, pub_ts timestamp")
+    out, stats = similarity.keyword_cluster(df)
+    assert "clustered" in written and not {"title", "content"} & set(written["clustered"])
+    assert sorted(map(tuple, out.select("pos", "content", "cluster_id", "title_id", "body_id", "is_canon", "replaced_by").collect())) == [
+        (i, f"w{i} v{i}", f"C-{i - i % 2}", f"T-{i - i % 2}", f"B-{i}", i % 2 == 0, f"n{i - i % 2}") for i in range(4)
+    ]
+    assert tuple(stats.first()) == (4, 2, 2)
+
+
 def test_blocks_of_vectors_are_not_copied(spark, monkeypatch):
     """Pairs of blocks are read from the folder, not made by a join of copies that would go through disk."""
     monkeypatch.setattr(similarity, "BLOCK_ROWS", 4)
